@@ -37,9 +37,10 @@ def _add_tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     a_row[a_ids], b_row[b_ids] = np.arange(len(a_ids)), np.arange(len(b_ids))
 
     shared = np.zeros((len(a_ids), len(b_ids)))
-    data = rows[~marks]
-    at, x = at[~marks], data["x"].to_numpy()
-    for where in data.groupby("key", sort=False).indices.values():
+    codes, _ = pd.factorize(rows["key"][~marks])
+    by_key = np.argsort(codes, kind="stable")
+    at, x = at[~marks][by_key], rows["x"].to_numpy()[~marks][by_key]
+    for where in np.split(np.arange(len(at)), np.flatnonzero(np.diff(codes[by_key])) + 1):
         i, xi = at[where], x[where]
         a, b = a_row[i] >= 0, b_row[i] >= 0
         shared[np.ix_(a_row[i[a]], b_row[i[b]])] += np.minimum.outer(xi[a], xi[b])
@@ -55,6 +56,23 @@ def _add_tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def _layout(n_rows: int, n_ids: int, parallelism: int, block_size: int, tile_rows: int) -> tuple[int, int]:
+    """Number of sample blocks and key slices: within memory, and enough tiles to keep the cluster busy.
+
+    More blocks repeat the input once per block, more slices repeat the pairs
+    once per slice; the cheaper of the two makes up for missing parallelism.
+    """
+    blocks = max(1, math.ceil(n_ids / block_size))
+    wide = math.ceil(math.sqrt(2 * parallelism))
+    by_blocks = n_rows * wide <= n_rows + n_ids * n_ids / 2 * parallelism
+    if by_blocks:
+        blocks = max(blocks, min(wide, n_ids))
+    slices = max(1, math.ceil(2 * n_rows / blocks / tile_rows))
+    if not by_blocks:
+        slices = max(slices, math.ceil(parallelism / (blocks * (blocks + 1) / 2)))
+    return blocks, slices
+
+
 def shared_min(df: DataFrame, sample: str, key: str, value: str,
                block_size: int = 1024, tile_rows: int = 4_000_000) -> DataFrame:
     """``sum(min(x_a, x_b))`` over common keys and both totals, for every pair of samples.
@@ -66,10 +84,10 @@ def shared_min(df: DataFrame, sample: str, key: str, value: str,
         F.col(sample).cast("string").alias("id"), F.col(key).cast("string").alias("key"),
         F.col(value).cast("double").alias("x"),
     ).filter("id is not null and key is not null and x > 0"))
-    totals = long.groupBy("id").agg(F.sum("x").alias("x"))
-    n_rows, n_ids = long.count(), totals.count()
-    blocks = max(1, math.ceil(n_ids / block_size))
-    slices = max(1, math.ceil(2 * n_rows / blocks / tile_rows))
+    totals = long.groupBy("id").agg(F.sum("x").alias("x"), F.count(F.lit(1)).alias("rows"))
+    size = totals.agg(F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    blocks, slices = _layout(size["rows"], size["ids"], parallelism, block_size, tile_rows)
 
     # A row without key carries the sample's total into the first slice.
     marked = long.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int")).unionByName(

@@ -36,13 +36,6 @@ def _study(c: str) -> Column:
     return sub(c, ",.+", "")
 
 
-def _fill_subject(df: DataFrame, cols, across: bool) -> DataFrame:
-    """Fill the subject in file order, then its values: inside the subject, or ``across`` subjects."""
-    if across:
-        return fill_down(df, ["studyid", *cols], [FILE_ORDER])
-    return fill_down(fill_down(df, ["studyid"], [FILE_ORDER]), cols, [FILE_ORDER], by=["studyid"])
-
-
 def transplant_samples(samples: DataFrame, across: bool = False) -> DataFrame:
     named = samples.withColumns({"studyid": _study("record_id"), "mrn": blank_to_null("mrn")})
     if across:
@@ -66,34 +59,46 @@ def transplant_events(events: DataFrame, across: bool = False) -> DataFrame:
     ))
 
 
-def intensive_care(exports: DataFrame, across: bool = False) -> DataFrame:
-    named = exports.withColumns({"studyid": blank_to_null("studyid"), "mrn": blank_to_null("mrn")})
-    filled = _fill_subject(named, ["mrn"], across).filter(F.col("stool") != "")
-    return filled.select(
-        "studyid", "mrn", "sampleid", lenient_date("stool").alias("date_collected"),
-        F.lit("MICU").alias("db"), F.lit("Stool").alias("sampletype"),
+def intensive_care(exports: DataFrame) -> DataFrame:
+    return exports.select(
+        blank_to_null("studyid").alias("studyid"), blank_to_null("mrn").alias("mrn"), "sampleid",
+        lenient_date("stool").alias("date_collected"), F.lit("Stool").alias("sampletype"), F.lit("MICU").alias("db"),
+        (F.col("stool") != "").alias("__kept"), FILE_ORDER,
     )
 
 
-def heart_transplant(exports: DataFrame, across: bool = False) -> DataFrame:
+def heart_transplant(exports: DataFrame) -> DataFrame:
     # A missing or unreadable transplant date is NULL and takes the one before it.
-    named = exports.select(
+    return exports.select(
         blank_to_null("study_id").alias("studyid"), blank_to_null("mrn").alias("mrn"),
         F.col("sample_id").alias("sampleid"), lenient_date("date_collected").alias("date_collected"),
-        lenient_date("ohtdate").alias("date_transplant"), FILE_ORDER,
+        lenient_date("ohtdate").alias("date_transplant"), F.lit("Stool").alias("sampletype"),
+        F.lit("HeartTransplant").alias("db"), (F.col("sample_id") != "").alias("__kept"), FILE_ORDER,
     )
-    filled = _fill_subject(named, ["mrn", "date_transplant"], across).filter(F.col("sampleid") != "")
-    return filled.drop(FILE_ORDER).withColumns({"db": F.lit("HeartTransplant"), "sampletype": F.lit("Stool")})
 
 
-def liver_disease(exports: DataFrame, across: bool = False) -> DataFrame:
-    named = exports.select(
+def liver_disease(exports: DataFrame) -> DataFrame:
+    return exports.select(
         blank_to_null("subject_id").alias("studyid"), blank_to_null("mrn").alias("mrn"),
         F.col("sample_id").alias("sampleid"), lenient_date("collection_date").alias("date_collected"),
-        if_else_na(blank_to_null("sample_type") == "1", F.lit("Stool"), F.lit("Other")).alias("sampletype"), FILE_ORDER,
+        if_else_na(blank_to_null("sample_type") == "1", F.lit("Stool"), F.lit("Other")).alias("sampletype"),
+        F.lit("LiverDisease").alias("db"), (F.col("sample_id") != "").alias("__kept"), FILE_ORDER,
     )
-    filled = _fill_subject(named, ["mrn"], across).filter(F.col("sampleid") != "")
-    return filled.drop(FILE_ORDER).withColumn("db", F.lit("LiverDisease"))
+
+
+def filled_cohorts(*cohorts: DataFrame, across: bool = False) -> DataFrame:
+    """Subjects carried down in each cohort's file order, then their record number and transplant date.
+
+    All cohorts are filled in the same passes. Rows that are not samples carry
+    values but are not returned.
+    """
+    rows = union_fill(*cohorts)
+    if across:
+        filled = fill_down(rows, ["studyid", "mrn", "date_transplant"], [FILE_ORDER], by=["db"])
+    else:
+        subjects = fill_down(rows, ["studyid"], [FILE_ORDER], by=["db"])
+        filled = fill_down(subjects, ["mrn", "date_transplant"], [FILE_ORDER], by=["db", "studyid"])
+    return filled.filter("__kept").drop("__kept", FILE_ORDER)
 
 
 def sample_key(df: DataFrame, col: str, out: str = "ID") -> DataFrame:
@@ -111,7 +116,8 @@ def harmonise_clinical(lt_samples: DataFrame, lt_events: DataFrame, micu: DataFr
     """
     lt = full_join_ns(transplant_samples(lt_samples, across), transplant_events(lt_events, across),
                       ["studyid", "mrn", "db"])
-    total = union_fill(lt, intensive_care(micu, across), heart_transplant(ht, across), liver_disease(ld, across))
+    cohorts = [intensive_care(micu), heart_transplant(ht), liver_disease(ld)]
+    total = union_fill(lt, filled_cohorts(*cohorts, across=across))
     return sample_key(total.withColumn("sampleid", sub("sampleid", " ", "")), "sampleid")
 
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florametrics.functions import blank_to, file_name, matches, null_to, paste, sub, taxid, title
-from florametrics.operators.aggregates import add_share, count_by, sum_by
+from florametrics.functions import blank_to, file_name, matches, null_to, paste, ratio, sub, taxid
+from florametrics.operators.aggregates import count_by, sum_by
 from florametrics.operators.columns import literal_map, rename, require_columns
 from florametrics.operators.joins import anti_ns, join_back, left_join_ns, natural_left, semi_ns
 from florametrics.operators.ordered import member_index, na_last, stack_positions
 from florametrics.operators.ranking import best_weighted
-from florametrics.operators.reshape import melt_abundance
 
 RANKS = ["Kingdom", "Phylum", "Class", "Order", "Family", "Genus", "Species"]
 
@@ -57,6 +56,18 @@ def taxon_counts(reads: DataFrame, by_genome: bool = False) -> DataFrame:
     )
 
 
+def _stacked_shares(amounts: DataFrame, keys, ranks, amount: str, split: bool) -> DataFrame:
+    """Share, cumulative share and slice midpoint in rank order.
+
+    Amounts are stacked before they are divided, so whole numbers add up exactly.
+    """
+    ordered, order = na_last(join_back(amounts, sum_by(amounts, keys, amount, "total"), keys), ranks)
+    placed = stack_positions(ordered, keys, order, amount, cum="__cum", mid="__mid", split=split)
+    return placed.withColumns({
+        "pctseqs": ratio(amount, "total"), "cum_pct": ratio("__cum", "total"), "y_text": ratio("__mid", "total"),
+    })
+
+
 def contig_abundance(contigs: DataFrame, taxdump: DataFrame, label_from: float = 0.1,
                      split: bool = False) -> DataFrame:
     """Share of contig length per lineage and isolate, with label text and position.
@@ -66,13 +77,9 @@ def contig_abundance(contigs: DataFrame, taxdump: DataFrame, label_from: float =
     """
     lineage = [r.lower() for r in RANKS]
     known = natural_left(contigs.withColumn("tax_id", taxid("taxon")), taxdump)
-    share = add_share(sum_by(known, ["seq_id", *lineage], "length"), ["seq_id"], "length", "pctseqs").drop("length")
-    # title() of a rank name is its capitalised column name.
-    share = rename(share, {r.lower(): r for r in RANKS})
-    share = share.withColumns({r: blank_to(r, "unclassified") for r in RANKS})
-    share = share.groupBy("seq_id", *RANKS).agg(F.sum("pctseqs").alias("pctseqs"))
-    ordered, order = na_last(share, RANKS)
-    placed = stack_positions(ordered, ["seq_id"], order, "pctseqs", split=split)
+    by_lineage = rename(sum_by(known, ["seq_id", *lineage], "length"), {r.lower(): r for r in RANKS})
+    by_lineage = by_lineage.withColumns({r: blank_to(r, "unclassified") for r in RANKS})
+    placed = _stacked_shares(sum_by(by_lineage, ["seq_id", *RANKS], "length"), ["seq_id"], RANKS, "length", split)
     long_genus = paste("Phylum", "Class", "Order", "Family", "Genus", sep="-")
     text = F.when(matches(long_genus, "unclassified$"), F.col("Genus")).otherwise(sub("Species", " ", "\n"))
     return placed.select(
@@ -92,22 +99,19 @@ def abundance_profile(counts: DataFrame, tax: DataFrame, samples: DataFrame | No
     """
     ranks = [top] + RANKS[1:RANKS.index(level) + 1]
     keys = ["sample", *([group] if group else [])]
-    long = melt_abundance(counts, tax, samples)
+    long = left_join_ns(counts.filter(F.col("numseqs") > 0), tax, "taxon")
+    if group:
+        long = left_join_ns(long, samples.select("sample", group), "sample")
     long = long.withColumns({r: null_to(r, "unclassified") for r in RANKS[1:] if r in long.columns})
     if level == "Genus":
         unnamed = F.concat(F.col("Family"), F.lit("\n"), F.col("Genus"))
         long = long.withColumn("Genus", F.when(F.col("Genus") == "unclassified", unnamed).otherwise(F.col("Genus")))
-    by_taxon = long.groupBy(*keys, *ranks).agg(F.sum("pctseqs").alias("pctseqs"), F.sum("numseqs").alias("numseqs"))
-    totals = sum_by(by_taxon, keys, "numseqs", "total")
-    ordered, order = na_last(by_taxon, ranks)
-    placed = stack_positions(ordered, keys, order, "pctseqs", split=split)
+    placed = _stacked_shares(sum_by(long, [*keys, *ranks], "numseqs"), keys, ranks, "numseqs", split)
     text = F.col("Genus")
     if label == "plain":
         text = F.when(matches("Genus", "unclassified"), "unclassified").otherwise(text)
     labelled = placed.withColumn("tax_label", F.when(F.col("pctseqs") >= label_from, text).otherwise(""))
-    return join_back(labelled, totals, keys).select(
-        *keys, *ranks, "pctseqs", "cum_pct", "y_text", "tax_label", "total"
-    )
+    return labelled.select(*keys, *ranks, "pctseqs", "cum_pct", "y_text", "tax_label", "total")
 
 
 def assign_taxonomy(hits: DataFrame, seed: int = 0, mode: str = "random") -> DataFrame:
@@ -139,10 +143,10 @@ def classify_taxa(tax: DataFrame, classes: dict[str, dict[str, str]] | None = No
             found += [F.when(matches(rank, f"{name}$"), F.lit(value)) for name, value in names.items()]
         else:
             found.append(F.try_element_at(literal_map(names), F.col(rank)))
-    named = distinct.withColumn("class", F.coalesce(*found, F.lit(other)))
+    named = distinct.withColumn("kind", F.coalesce(*found, F.lit(other)))
     ordered, order = na_last(named, ranks)
     # Everything without a class shares one group, so the numbering is split by range.
-    return member_index(ordered, ["class"], order, "shade", cycle=shades).select(*ranks, "class", "shade")
+    return member_index(ordered, ["kind"], order, "shade", cycle=shades).select(*ranks, "kind", "shade")
 
 
 def classify_functions(functions: DataFrame, base: dict[str, str] | None = None, level: int = 2) -> DataFrame:
@@ -167,7 +171,3 @@ def classify_functions(functions: DataFrame, base: dict[str, str] | None = None,
         *ranks, "category", "color", "n_members", "member"
     )
 
-
-def rank_title(name: str):
-    """Display name of a rank."""
-    return title(F.lit(name))

@@ -35,17 +35,16 @@ def _(spark, sf):
 
 
 @query("describe_lengths", """
-SELECT o_custkey, CASE WHEN count(v) = count(*) THEN round(avg(v), 4) END AS mean, CASE WHEN count(v) = count(*) THEN max(v) END AS max,
-  count(*) AS n, CASE WHEN count(v) = count(*) THEN round(sum(v), 2) END AS total,
-  CASE WHEN count(v) = count(*) THEN round(median(v), 4) END AS median
-FROM (SELECT o_custkey, CASE WHEN o_orderpriority <> '1-URGENT' OR o_custkey % 3 = 0 THEN o_totalprice END AS v FROM orders)
+SELECT o_custkey, CASE WHEN count(v) = count(*) THEN avg(v) END AS mean, CASE WHEN count(v) = count(*) THEN max(v) END AS max,
+  count(*) AS n, CASE WHEN count(v) = count(*) THEN CAST(sum(v) AS BIGINT) END AS total,
+  CASE WHEN count(v) = count(*) THEN median(v) END AS median
+FROM (SELECT o_custkey, CASE WHEN o_orderpriority <> '1-URGENT' OR o_custkey % 3 = 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS v FROM orders)
 GROUP BY o_custkey""")
 def _(spark, sf):
     # Two thirds of the groups may hold missing values; their statistics are missing.
-    o = table(spark, sf, "orders").withColumn(
-        "v", F.when((F.col("o_orderpriority") != "1-URGENT") | (F.col("o_custkey") % 3 == 0), F.col("o_totalprice")))
-    out = A.describe_by(o, ["o_custkey"], "v")
-    return rounded(rounded(out, 4, "mean", "median"), 2, "total")
+    o = table(spark, sf, "orders").withColumn("v", F.when(
+        (F.col("o_orderpriority") != "1-URGENT") | (F.col("o_custkey") % 3 == 0), F.floor("o_totalprice").cast("long")))
+    return A.describe_by(o, ["o_custkey"], "v")
 
 
 @query("nx_lengths", """
