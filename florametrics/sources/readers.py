@@ -271,10 +271,12 @@ def read_trim_log(spark, paths, sep: str = ":", **opts) -> DataFrame:
 
 
 def read_clinical(spark, folder, pattern: str, schema: str, **opts) -> DataFrame:
-    """CSV exports found by name; blanks stay blank text, rows keep their file order."""
-    df = read_many(spark, folder, "csv", schema, header=True, name_glob=pattern, ordered=True,
-                   emptyValue="", nullValue="\u0000", **opts)
-    return df
+    """CSV exports found by name. Blank cells are empty text, ``NA`` is missing; rows keep their file order."""
+    fields = T.StructType.fromDDL(schema)
+    df = read_many(spark, folder, "csv", fields, header=True, name_glob=pattern, ordered=True, **opts)
+    texts = {f.name: F.nullif(F.coalesce(F.col(f.name), F.lit("")), F.lit("NA"))
+             for f in fields if f.dataType == T.StringType()}
+    return df.withColumns(texts)
 
 
 def read_table(spark, name: str, filter: str | None = None, options: dict | None = None) -> DataFrame:
