@@ -56,16 +56,19 @@ def collapse_by(df: DataFrame, keys, col: str, order, sep: str = "", out: str |
     return df.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda p: p["__v"]), sep).alias(out or col))
 
 
-def single_by(df: DataFrame, keys, cols, flag: str = "ambiguous") -> DataFrame:
-    """The group's only value of each column; ``flag`` is true where a group holds several."""
+def single_values(cols, flag: str = "ambiguous") -> list[Column]:
+    """Aggregates giving each column's only value, and ``flag``: true where a group holds several."""
     # Several values exist when min and max differ, or when NULL stands beside a value.
-    mixed = [
-        (F.min(c) != F.max(c)) | ((F.count(c) > 0) & (F.count(c) < F.count(F.lit(1)))) for c in cols
-    ]
     several = F.lit(False)
-    for m in mixed:
-        several = several | F.coalesce(m, F.lit(False))
-    return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in cols], several.alias(flag))
+    for c in cols:
+        mixed = (F.min(c) != F.max(c)) | ((F.count(c) > 0) & (F.count(c) < F.count(F.lit(1))))
+        several = several | F.coalesce(mixed, F.lit(False))
+    return [*[F.min(c).alias(c) for c in cols], several.alias(flag)]
+
+
+def single_by(df: DataFrame, keys, cols, flag: str = "ambiguous") -> DataFrame:
+    """The group's only value of each column; ``flag`` is true where a group holds several."""
+    return df.groupBy(*keys).agg(*single_values(cols, flag))
 
 
 def count_true(df: DataFrame, keys, predicate: Column, out: str = "n_true") -> DataFrame:

@@ -218,9 +218,12 @@ def read_gff(spark, paths, wanted=None, **opts) -> DataFrame:
     return df.select(*fixed, attributes.alias("__attr"), *rest).select(*GFF_FIXED, *made, *rest)
 
 
-def read_crispr_json(spark, paths, min_bytes: int = 4500, **opts) -> DataFrame:
-    """One row per isolate document; small files hold no result."""
-    return read_many(spark, paths, "json", CRISPR, multiLine=True, min_bytes=min_bytes, **opts)
+def read_crispr_json(spark, paths, min_bytes: int = 4500, one_per_line: bool = False, **opts) -> DataFrame:
+    """One row per isolate document; small files hold no result.
+
+    Documents gathered into large files, ``one_per_line``, can be split.
+    """
+    return read_many(spark, paths, "json", CRISPR, multiLine=not one_per_line, min_bytes=min_bytes, **opts)
 
 
 def read_assembly_summary(spark, paths, newest_only: bool = True, **opts) -> DataFrame:

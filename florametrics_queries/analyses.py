@@ -471,16 +471,17 @@ def _(spark, sf):
 
 # ---- clinical -------------------------------------------------------------------------------
 
-_PAD = "lpad(CAST({0} AS VARCHAR), greatest(3, length(CAST({0} AS VARCHAR))), '0')"
-_CLINICAL = f"""o AS (SELECT row_number() OVER (ORDER BY o_orderkey, o_custkey) AS rn, o_orderkey, o_custkey % 50 AS subj, o_orderpriority, o_orderstatus, o_orderdate FROM orders)"""
+def _pad(text: str, width: int = 3) -> str:
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INTEGER), '0')"
+
 
 
 def clinical_exports(spark, sf):
     """Four cohort exports cut from the orders table; the order key stands for the file position."""
     o = table(spark, sf, "orders").withColumns({
-        "subj": F.col("o_custkey") % 50, FILE_ORDER: F.col("o_orderkey"),
-        "mrn": F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("M"), F.col("o_custkey") % 50)).otherwise(""),
-        "sid": F.when(F.col("o_orderkey") % 5 != 0, F.concat_ws(".", F.lit("LT"), F.col("o_custkey") % 50, F.col("o_orderkey"))).otherwise(""),
+        "subj": F.col("o_custkey"), FILE_ORDER: F.col("o_orderkey"),
+        "mrn": F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("M"), F.col("o_custkey"))).otherwise(""),
+        "sid": F.when(F.col("o_orderkey") % 5 != 0, F.concat_ws(".", F.lit("LT"), F.col("o_custkey"), F.col("o_orderkey"))).otherwise(""),
         "day": F.when(F.col("o_orderstatus") == "P", "bad date").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
     })
     study = F.concat(F.lit("st"), "subj")
@@ -505,9 +506,9 @@ def _harmonised(across: bool) -> str:
 
     lt_order = "study NULLS LAST, mrn NULLS LAST, k" if across else "mrn NULLS LAST, k"
     return f"""
-x AS (SELECT o_orderkey AS k, o_orderstatus AS st, 'st' || o_custkey % 50 AS study, CASE WHEN o_orderkey % 4 = 0 THEN 'st' || o_custkey % 50 END AS sometimes,
-  CASE WHEN o_orderkey % 3 = 0 THEN 'M' || o_custkey % 50 END AS mrn, CASE WHEN o_orderkey % 5 <> 0 THEN 'LT.' || o_custkey % 50 || '.' || o_orderkey END AS sid,
-  o_custkey % 50 AS subj, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS day, o_orderpriority[1] AS kind FROM orders),
+x AS (SELECT o_orderkey AS k, o_orderstatus AS st, 'st' || o_custkey AS study, CASE WHEN o_orderkey % 4 = 0 THEN 'st' || o_custkey END AS sometimes,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'M' || o_custkey END AS mrn, CASE WHEN o_orderkey % 5 <> 0 THEN 'LT.' || o_custkey || '.' || o_orderkey END AS sid,
+  o_custkey AS subj, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS day, o_orderpriority[1] AS kind FROM orders),
 lt AS (SELECT study AS studyid, {fill('mrn', lt_order, 'study')} AS mrn, sid, day FROM x WHERE kind = '1'),
 ev AS (SELECT study AS studyid, {fill('mrn', 'k', 'study')} AS mrn, day AS date_transplant, st FROM x WHERE kind = '2'),
 ev2 AS (SELECT DISTINCT studyid, mrn, date_transplant FROM ev WHERE st = 'F'),
@@ -521,7 +522,7 @@ a AS (SELECT studyid, mrn, sid, day, date_transplant, sampletype, db FROM l
   UNION ALL SELECT studyid, mrn, sid, day, tday, 'Stool', 'HeartTransplant' FROM f WHERE kind = '4' AND sid IS NOT NULL
   UNION ALL SELECT studyid, mrn, sid, day, NULL, CASE WHEN st = '1' THEN 'Stool' ELSE 'Other' END, 'LiverDisease' FROM f WHERE kind = '5' AND sid IS NOT NULL),
 clin AS (SELECT studyid, mrn, coalesce(sid, CASE WHEN db = 'MICU' THEN '' END) AS sampleid, CAST(day AS VARCHAR) AS date_collected, CAST(date_transplant AS VARCHAR) AS date_transplant, sampletype, db,
-  CASE WHEN sid IS NOT NULL THEN 'LT-' || lpad(split_part(sid, '.', 2), 3, '0') || '.' || CASE WHEN length(split_part(sid, '.', 3)) < 2 THEN lpad(split_part(sid, '.', 3), 2, '0') ELSE split_part(sid, '.', 3) END
+  CASE WHEN sid IS NOT NULL THEN 'LT-' || {_pad("split_part(sid, '.', 2)")} || '.' || {_pad("split_part(sid, '.', 3)", 2)}
     WHEN db = 'MICU' THEN '- NA.NA' ELSE 'NA- NA.NA' END AS "ID" FROM a)"""
 
 
@@ -556,47 +557,50 @@ def _(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", padded_id(F.lit("UC"), "c_custkey", "c_nationkey").alias("id"))
 
 
-@query("amplicon_lookup", """
-WITH s AS (SELECT 'P' || s_suppkey || '_UC.' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '.01' AS m, s_acctbal AS r, 'UC-' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '.01' AS id
-  FROM supplier WHERE s_nationkey < 20)
-SELECT m AS "MiSeq_id", id AS "ID" FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY r DESC) AS k FROM s) WHERE k = 1""")
-def _(spark, sf):
-    return CL.amplicon_lookup(_amplicon(spark, sf))
+_KEY = {k: f"'UC-' || {_pad(f'CAST({k} AS VARCHAR)')} || '.05'" for k in ("s_suppkey", "c_custkey", "s_suppkey // 2")}
+_AMPLICON = f"""
+s AS (SELECT 'P' || s_suppkey || '_UC.' || {_pad("CAST(s_suppkey // 2 AS VARCHAR)")} || '.05' AS m, s_acctbal AS r, {_KEY["s_suppkey // 2"]} AS id FROM supplier WHERE s_nationkey < 20),
+a AS (SELECT m, id FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY r DESC) AS k FROM s) WHERE k = 1)"""
+_METABOLITES = f"""
+b AS (SELECT DISTINCT mid, id FROM (SELECT 'UC_' || {_pad("CAST(c_custkey AS VARCHAR)")} || '_05ab' AS mid, {_KEY["c_custkey"]} AS id FROM customer
+  UNION ALL SELECT 'U_C_003_05', 'UC-003.05' FROM supplier UNION ALL SELECT 'UC _' || {_pad("CAST(s_suppkey AS VARCHAR)")} || '_05', {_KEY["s_suppkey"]} FROM supplier))"""
+
+
+def _padded(key: str) -> str:
+    return f"lpad({key}, greatest(3, length(cast({key} as string))), '0')"
 
 
 def _amplicon(spark, sf):
     return table(spark, sf, "supplier").selectExpr(
-        "concat('P', s_suppkey, if(s_nationkey < 20, '_UC.', '_CC.'), lpad(s_nationkey, 3, '0'), '.01') MiSeq_id",
+        f"concat('P', s_suppkey, if(s_nationkey < 20, '_UC.', '_CC.'), {_padded('s_suppkey div 2')}, '.05') MiSeq_id",
         "1L reads_in", "s_acctbal reads_out")
 
 
-@query("metabolite_lookup", """
-SELECT id AS "metabolomicsID", 'UC-' || lpad(CAST(n AS VARCHAR), 3, '0') || '.05' AS "ID" FROM
- (SELECT DISTINCT 'UC_' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || '_05ab' AS id, c_nationkey AS n FROM customer
-  UNION SELECT 'U_C_003_05', 3 FROM supplier UNION SELECT 'UC _' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '_05', s_nationkey FROM supplier)""")
-def _(spark, sf):
-    return CL.metabolite_lookup(*_metabolites(spark, sf))
-
-
 def _metabolites(spark, sf):
-    bile = table(spark, sf, "customer").selectExpr("concat('UC_', lpad(c_nationkey, 3, '0'), '_05ab') metabolomicsID")
+    bile = table(spark, sf, "customer").selectExpr(f"concat('UC_', {_padded('c_custkey')}, '_05ab') metabolomicsID")
     scfa = table(spark, sf, "supplier").selectExpr(
-        "explode(array('U_C_003_05', concat('UC _', lpad(s_nationkey, 3, '0'), '_05'))) metabolomicsID")
+        f"explode(array('U_C_003_05', concat('UC _', {_padded('s_suppkey')}, '_05'))) metabolomicsID")
     return bile, scfa
 
 
-@query("cross_lookup", """
-WITH c AS (SELECT 'UC-' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || '.05' AS id, c_custkey, lower(c_mktsegment) AS sampletype FROM customer WHERE c_nationkey > 5),
-g AS (SELECT 's' || s_suppkey AS g, 'UC-' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '.05' AS id FROM supplier),
-s AS (SELECT 'P' || s_suppkey || '_UC.' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '.01' AS m, s_acctbal AS r, 'UC-' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '.01' AS id FROM supplier WHERE s_nationkey < 20),
-a AS (SELECT m, id FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY r DESC) AS k FROM s) WHERE k = 1),
-b AS (SELECT id AS mid, 'UC-' || lpad(CAST(n AS VARCHAR), 3, '0') || '.05' AS id FROM (SELECT DISTINCT 'UC_' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || '_05ab' AS id, c_nationkey AS n FROM customer
-  UNION SELECT 'U_C_003_05', 3 FROM supplier UNION SELECT 'UC _' || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') || '_05', s_nationkey FROM supplier)),
+@query("amplicon_lookup", f"""WITH {_AMPLICON} SELECT m AS "MiSeq_id", id AS "ID" FROM a""")
+def _(spark, sf):
+    return CL.amplicon_lookup(_amplicon(spark, sf))
+
+
+@query("metabolite_lookup", f"""WITH {_METABOLITES} SELECT mid AS "metabolomicsID", id AS "ID" FROM b""")
+def _(spark, sf):
+    return CL.metabolite_lookup(*_metabolites(spark, sf))
+
+
+@query("cross_lookup", f"""
+WITH c AS (SELECT {_KEY["c_custkey"]} AS id, c_custkey, lower(c_mktsegment) AS sampletype FROM customer WHERE c_custkey > 5),
+g AS (SELECT 's' || s_suppkey AS g, {_KEY["s_suppkey"]} AS id FROM supplier), {_AMPLICON}, {_METABOLITES},
 j1 AS (SELECT coalesce(c.id, g.id) AS id, c_custkey, sampletype, g FROM c FULL JOIN g ON c.id = g.id),
 j2 AS (SELECT coalesce(a.id, j1.id) AS id, m, c_custkey, sampletype, g FROM a FULL JOIN j1 ON a.id = j1.id)
 SELECT coalesce(j2.id, b.id) AS "ID", m AS "MiSeq_id", c_custkey, sampletype, g AS "shotgunSeq_id", mid AS "metabolomicsID" FROM j2 FULL JOIN b ON j2.id = b.id""")
 def _(spark, sf):
-    clinical = table(spark, sf, "customer").filter("c_nationkey > 5").selectExpr(
-        "concat('UC-', lpad(c_nationkey, 3, '0'), '.05') ID", "c_custkey", "c_mktsegment sampletype")
-    shotgun = table(spark, sf, "supplier").selectExpr("concat('s', s_suppkey) seq_id", "concat('UC-', lpad(s_nationkey, 3, '0'), '.05') ID")
+    clinical = table(spark, sf, "customer").filter("c_custkey > 5").selectExpr(
+        f"concat('UC-', {_padded('c_custkey')}, '.05') ID", "c_custkey", "c_mktsegment sampletype")
+    shotgun = table(spark, sf, "supplier").selectExpr("concat('s', s_suppkey) seq_id", f"concat('UC-', {_padded('s_suppkey')}, '.05') ID")
     return CL.cross_lookup(clinical, shotgun, _amplicon(spark, sf), *_metabolites(spark, sf))

@@ -156,21 +156,6 @@ def _(spark, sf):
     return G.feature_locations(R.read_gff(spark, path)).select("seqid", "start", "end", "locus_tag", "product")
 
 
-@query("read_crispr_documents", """
-SELECT 'ST1_' || n_regionkey AS isolate, n_name AS contig, CAST(NULL AS BIGINT) AS "casStart", c_custkey AS "crisprStart", c_name AS "regionSequence" FROM nation JOIN customer ON c_nationkey = n_nationkey""")
-def _(spark, sf):
-    """One document per region of the world, read back as JSON files."""
-    arrays = table(spark, sf, "customer").selectExpr(
-        "c_nationkey k", "named_struct('Name', c_name, 'Start', c_custkey, 'End', c_custkey + 1, 'AT', 0.5D, 'Regions', array(named_struct('Start', 1L, 'End', 2L, 'AT', 0.1D, 'Type', 'DR', 'Sequence', c_name))) a",
-    ).groupBy("k").agg(F.collect_list("a").alias("Crisprs"))
-    docs = table(spark, sf, "nation").selectExpr("n_nationkey k", "n_name", "n_regionkey").join(arrays, "k").groupBy("n_regionkey").agg(
-        F.collect_list(F.struct(F.col("n_name").alias("Id"), F.array().cast("array<struct<Start: bigint>>").alias("Cas"), "Crisprs")).alias("Sequences"))
-    path = scratch_path(spark, "crispr")
-    docs.select(F.concat(F.lit("ST1_"), "n_regionkey").alias("iso"), F.lit("d").alias("Date"), "Sequences").write.partitionBy("iso").json(path)
-    out = G.crispr_regions(R.read_crispr_json(spark, f"{path}/*"))
-    return out.select("isolate", "contig", "casStart", "crisprStart", "regionSequence")
-
-
 @query("json_props", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def _(spark, sf):
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
