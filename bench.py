@@ -17,7 +17,7 @@ HEADLINE = [
     "assembly_verdict", "isolate_report", "harmonise_clinical", "cross_lookup", "read_protein_alignments",
     "fasta_records", "requestor_export", "bray_curtis", "unifrac", "rarefied_counts",
 ]
-WARM_RUNS = 3
+WARM_RUNS = 2
 
 
 def run(fn, spark, sf) -> float:
@@ -35,7 +35,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
-    budget = time.perf_counter() + float(os.environ.get("BENCH_SECONDS", "900"))
+    budget = time.perf_counter() + float(os.environ.get("BENCH_SECONDS", "500"))
     for name in HEADLINE:
         cold = run(QUERIES[name], spark, sf)
         # A slow machine gets fewer warm runs, never fewer queries.

@@ -56,18 +56,20 @@ def _add_tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def _layout(n_rows: int, n_ids: int, parallelism: int, block_size: int, tile_rows: int) -> tuple[int, int]:
+def _layout(n_rows: int, n_ids: int, largest: int, parallelism: int, block_size: int,
+            tile_rows: int) -> tuple[int, int]:
     """Number of sample blocks and key slices: within memory, and enough tiles to keep the cluster busy.
 
     More blocks repeat the input once per block, more slices repeat the pairs
-    once per slice; the cheaper of the two makes up for missing parallelism.
+    once per slice; the cheaper of the two makes up for missing parallelism. The
+    slices allow for a block that holds the ``largest`` sample.
     """
     blocks = max(1, math.ceil(n_ids / block_size))
     wide = math.ceil(math.sqrt(2 * parallelism))
     by_blocks = n_rows * wide <= n_rows + n_ids * n_ids / 2 * parallelism
     if by_blocks:
         blocks = max(blocks, min(wide, n_ids))
-    slices = max(1, math.ceil(2 * n_rows / blocks / tile_rows))
+    slices = max(1, math.ceil(2 * (n_rows / blocks + largest) / tile_rows))
     if not by_blocks:
         slices = max(slices, math.ceil(parallelism / (blocks * (blocks + 1) / 2)))
     return blocks, slices
@@ -85,9 +87,12 @@ def shared_min(df: DataFrame, sample: str, key: str, value: str,
         F.col(value).cast("double").alias("x"),
     ).filter("id is not null and key is not null and x > 0"))
     totals = long.groupBy("id").agg(F.sum("x").alias("x"), F.count(F.lit(1)).alias("rows"))
-    size = totals.agg(F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    size = totals.agg(
+        F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.max("rows"), F.lit(0)).alias("largest"),
+    ).first()
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    blocks, slices = _layout(size["rows"], size["ids"], parallelism, block_size, tile_rows)
+    blocks, slices = _layout(size["rows"], size["ids"], size["largest"], parallelism, block_size, tile_rows)
 
     # A row without key carries the sample's total into the first slice.
     marked = long.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int")).unionByName(

@@ -27,6 +27,14 @@ def build_session(app: str = "florametrics", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the adaptive settings the plans count on."""
+    for key, value in SESSION_DEFAULTS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 

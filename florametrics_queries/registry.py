@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
+from florametrics.session import prepare
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +21,12 @@ def query(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(prepare(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return fn

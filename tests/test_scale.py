@@ -91,9 +91,10 @@ def test_bray_curtis_tiles_equal_brute_force(spark, tiling):
 
 
 def test_tile_layout_bounds_memory_and_fills_the_cluster():
-    blocks, slices = P._layout(10**10, 50_000, 1000, 1024, 4_000_000)
-    assert blocks >= 49 and 2 * 10**10 / blocks / slices <= 4_000_000
-    blocks, slices = P._layout(10**6, 10, 100, 1024, 4_000_000)
+    rows, hot = 10**10, 10**10 // 3
+    blocks, slices = P._layout(rows, 50_000, hot, 1000, 1024, 4_000_000)
+    assert blocks >= 49 and (rows / blocks + hot) / slices <= 4_000_000
+    blocks, slices = P._layout(10**6, 10, 10**5, 100, 1024, 4_000_000)
     assert blocks * (blocks + 1) / 2 * slices >= 100 or blocks == 10
 
 
