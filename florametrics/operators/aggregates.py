@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florametrics.functions import col_of, na_guard, na_max, na_mean, na_sum, order_bucket, signif
+from florametrics.functions import col_of, na_guard, order_bucket, signif
 from florametrics.operators.joins import join_back, left_join_ns
 
 
@@ -82,18 +82,26 @@ def margin_sums(counts: DataFrame, axis: str, value: str = "numseqs", out: str =
 
 
 def _value_counts(df: DataFrame, keys, col) -> DataFrame:
-    return (
-        df.select(*keys, col_of(col).alias("__v"))
-        .filter(F.col("__v").isNotNull())
-        .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__bucket", order_bucket("__v"))
-    )
+    """Rows per (group, value); the count of missing values is negative.
+
+    The sign, not a NULL test, sets missing values apart later: such a test would
+    be pushed below the aggregate and keep statistics from sharing its shuffle.
+    """
+    counted = df.select(*keys, col_of(col).alias("__v")).groupBy(*keys, "__v")
+    return counted.agg(F.sum(F.when(F.col("__v").isNull(), -1).otherwise(1)).alias("__n"))
+
+
+def _present(values: DataFrame) -> DataFrame:
+    return values.filter(F.col("__n") > 0).withColumn("__bucket", order_bucket("__v"))
 
 
 def quantiles_by(df: DataFrame, keys, col, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per entry of ``probs``."""
-    keys = list(keys)
-    values = _value_counts(df, keys, col)
+    return _quantiles(_value_counts(df, keys, col), list(keys), probs)
+
+
+def _quantiles(values: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    values = _present(values)
     upto = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*keys)
     buckets = (
@@ -131,8 +139,11 @@ def quantiles_by(df: DataFrame, keys, col, probs: dict[str, float]) -> DataFrame
 
 def nx_by(df: DataFrame, keys, length, x: float = 0.5, out: str = "n50") -> DataFrame:
     """Length at which the longest pieces first make up the share ``x`` of the total."""
-    keys = list(keys)
-    values = _value_counts(df, keys, length).withColumn("__w", F.col("__v") * F.col("__n"))
+    return _nx(_value_counts(df, keys, length), list(keys), x, out)
+
+
+def _nx(values: DataFrame, keys: list[str], x: float, out: str) -> DataFrame:
+    values = _present(values).withColumn("__w", F.col("__v") * F.col("__n"))
     longest_first = (
         Window.partitionBy(*keys).orderBy(F.col("__bucket").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -157,15 +168,18 @@ def nx_by(df: DataFrame, keys, length, x: float = 0.5, out: str = "n50") -> Data
 def describe_by(df: DataFrame, keys, col, n50: str | None = None) -> DataFrame:
     """Median, mean, max, n and sum per group; NULL where the group holds a missing value."""
     keys = list(keys)
-    base = df.groupBy(*keys).agg(
-        na_mean(col).alias("mean"), na_max(col).alias("max"), F.count(F.lit(1)).alias("n"),
-        na_sum(col).alias("total"), (F.count(col_of(col)) == F.count(F.lit(1))).alias("__complete"),
+    values = _value_counts(df, keys, col)
+    weighted = F.sum(F.col("__v") * F.col("__n"))
+    whole = F.min("__n") > 0
+    base = values.groupBy(*keys).agg(
+        F.when(whole, weighted / F.sum("__n")).alias("mean"), F.when(whole, F.max("__v")).alias("max"),
+        F.sum(F.abs("__n")).alias("n"), F.when(whole, weighted).alias("total"), whole.alias("__whole"),
     )
-    out = join_back(base, quantiles_by(df, keys, col, {"median": 0.5}), keys)
-    out = out.withColumn("median", F.when(F.col("__complete"), F.col("median")))
+    out = join_back(base, _quantiles(values, keys, {"median": 0.5}), keys)
+    out = out.withColumn("median", F.when(F.col("__whole"), F.col("median")))
     if n50:
-        out = join_back(out, nx_by(df, keys, col, 0.5, n50), keys)
-    return out.drop("__complete")
+        out = join_back(out, _nx(values, keys, 0.5, n50), keys)
+    return out.drop("__whole")
 
 
 def box_stats(df: DataFrame, keys, col: str, log10: bool = False) -> DataFrame:

@@ -138,7 +138,7 @@ def _(spark, sf):
 @query("unnest_structs", """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
      k AS (SELECT doc_id, CASE WHEN len(l) > 1 THEN l ELSE [] END AS l FROM d)
-SELECT doc_id, CAST(i AS INTEGER) AS place, CASE WHEN i IS NOT NULL THEN length(l[i + 1]) END AS size
+SELECT doc_id, CAST(i AS INTEGER) AS place, CASE WHEN i IS NOT NULL THEN CAST(length(l[i + 1]) AS INTEGER) END AS size
 FROM (SELECT doc_id, l, unnest(CASE WHEN len(l) = 0 THEN [NULL] ELSE range(len(l)) END) AS i FROM k)""")
 def _(spark, sf):
     lines = F.split("text", "\n")

@@ -77,7 +77,7 @@ def _(spark, sf):
 @query("read_profiles", """
 SELECT p_brand AS clade_name, CAST(p_partkey AS VARCHAR) AS taxid, p_retailprice AS relative_abundance FROM part""")
 def _(spark, sf):
-    """Five comment lines and the header stand before the rows of every part file."""
+    """A part file of comment lines and a header lies beside the rows; neither is returned."""
     head = ["#mpa", "#command", "#reads", "#sample", "#note", "clade_name\tclade_taxid\trelative_abundance\tcoverage\treads"]
     path = scratch_path(spark, "profiles")
     spark.range(1).select(F.explode(F.array(*[F.lit(h) for h in head])).alias("value")).write.text(path)
