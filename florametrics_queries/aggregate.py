@@ -151,6 +151,6 @@ def _(spark, sf):
 
 
 @query("share_of_group", f"""
-WITH {STAGES} SELECT seq_id, countType, count, round(count / sum(count) OVER (PARTITION BY seq_id), 8) AS share FROM stages""")
+WITH {STAGES} SELECT seq_id, countType, count, count / sum(count) OVER (PARTITION BY seq_id) AS share FROM stages""")
 def _(spark, sf):
-    return rounded(A.add_share(stages(spark, sf), ["seq_id"], "count"), 8, "share")
+    return A.add_share(stages(spark, sf), ["seq_id"], "count")

@@ -62,11 +62,11 @@ def _(spark, sf):
 
 
 @query("cpm_rpkm", f"""
-WITH {_GENES}, {_TOTALS} SELECT seq_id, sseqid, mappedReads, round(CAST(mappedReads AS DOUBLE) / total * 1000000.0, 4) AS cpm,
-  round(CAST(mappedReads AS DOUBLE) / ((CAST(slen AS DOUBLE) / 1000) * total) * 1000000.0, 4) AS rpkm, slen
+WITH {_GENES}, {_TOTALS} SELECT seq_id, sseqid, mappedReads, CAST(mappedReads AS DOUBLE) / total * 1000000.0 AS cpm,
+  CAST(mappedReads AS DOUBLE) / ((CAST(slen AS DOUBLE) / 1000) * total) * 1000000.0 AS rpkm, slen
 FROM genes LEFT JOIN totals USING (seq_id)""")
 def _(spark, sf):
-    return rounded(TG.normalise_counts(gene_table(spark, sf), read_totals(spark, sf)), 4)
+    return TG.normalise_counts(gene_table(spark, sf), read_totals(spark, sf))
 
 
 @query("ko_explode", """
@@ -95,10 +95,10 @@ def blast(spark, sf):
 
 @query("normalised_hits", f"""
 WITH {_BLAST}, q AS (SELECT *, CAST(qend - qstart + 1 AS DOUBLE) / CAST(qlen AS DOUBLE) * 100.0 AS qcov FROM b)
-SELECT qaccver, staxid, round(qcov, 6) AS qcov, CASE sstrand WHEN 'minus' THEN send ELSE sstart END AS sstart,
+SELECT qaccver, staxid, qcov, CASE sstrand WHEN 'minus' THEN send ELSE sstart END AS sstart,
   CASE sstrand WHEN 'minus' THEN sstart ELSE send END AS send FROM q WHERE pident > 85 AND qcov > 85""")
 def _(spark, sf):
-    return rounded(TG.filter_hits(blast(spark, sf)).select("qaccver", "staxid", "qcov", "sstart", "send"), 6)
+    return TG.filter_hits(blast(spark, sf)).select("qaccver", "staxid", "qcov", "sstart", "send")
 
 
 @query("top5_hits", f"""
@@ -286,10 +286,10 @@ _WIDE = f"""{STAGES}, w AS (SELECT seq_id AS "ID", max(count) FILTER (WHERE coun
 
 
 @query("survival", f"""
-WITH {_WIDE} SELECT "ID", 'Trimmed' AS type, round((raw - trimmed) / raw, 8) AS perc FROM w UNION ALL
-SELECT "ID", 'Host', round((trimmed - final) / raw, 8) FROM w UNION ALL SELECT "ID", 'Clean', round(final / raw, 8) FROM w""")
+WITH {_WIDE} SELECT "ID", 'Trimmed' AS type, (raw - trimmed) / raw AS perc FROM w UNION ALL
+SELECT "ID", 'Host', (trimmed - final) / raw FROM w UNION ALL SELECT "ID", 'Clean', final / raw FROM w""")
 def _(spark, sf):
-    return rounded(Q.read_survival(stages(spark, sf), F.col("seq_id")), 8)
+    return Q.read_survival(stages(spark, sf), F.col("seq_id"))
 
 
 @query("survival_counts", f"""
@@ -299,9 +299,9 @@ def _(spark, sf):
 
 
 @query("stage_summary", f"""
-WITH {_WIDE} SELECT round(avg(final), 6) AS final_mean, median(final) AS final_median, round(avg(raw), 6) AS raw_mean, median(raw) AS raw_median FROM w""")
+WITH {_WIDE} SELECT avg(final) AS final_mean, median(final) AS final_median, avg(raw) AS raw_mean, median(raw) AS raw_median FROM w""")
 def _(spark, sf):
-    return rounded(Q.run_summary(stages(spark, sf)), 6)
+    return Q.run_summary(stages(spark, sf))
 
 
 _LIBRARY = f"""{COUNTS}, {SAMPLES}, a AS (SELECT sample, sum(numseqs)::BIGINT AS after FROM counts GROUP BY 1),
@@ -314,10 +314,10 @@ def quality_table(spark, sf):
 
 
 @query("library_quality", f"""
-WITH {_LIBRARY} SELECT samplename, libraryname, reads_in, liborder, 'highQualSurvPerc' AS percentage, round(high, 8) AS value FROM q
-UNION ALL SELECT samplename, libraryname, reads_in, liborder, 'filterSurPerc', round(filt, 8) FROM q""")
+WITH {_LIBRARY} SELECT samplename, libraryname, reads_in, liborder, 'highQualSurvPerc' AS percentage, high AS value FROM q
+UNION ALL SELECT samplename, libraryname, reads_in, liborder, 'filterSurPerc', filt FROM q""")
 def _(spark, sf):
-    return rounded(Q.library_quality_long(quality_table(spark, sf)), 8, "value")
+    return Q.library_quality_long(quality_table(spark, sf))
 
 
 @query("library_sizes", f"""
@@ -437,10 +437,10 @@ def _(spark, sf):
 
 @query("relative_depth", f"""
 WITH {CONTIGS}, m AS (SELECT isolate, arg_max(depth, (length, contig, depth)) AS ref FROM contigs GROUP BY 1)
-SELECT contig, length, CASE WHEN path LIKE '%Trim%' THEN 'Yes' ELSE 'No' END AS circular, isolate, 'flyeLong' AS type, round(depth / ref, 6) AS depth FROM contigs JOIN m USING (isolate)""")
+SELECT contig, length, CASE WHEN path LIKE '%Trim%' THEN 'Yes' ELSE 'No' END AS circular, isolate, 'flyeLong' AS type, depth / ref AS depth FROM contigs JOIN m USING (isolate)""")
 def _(spark, sf):
     info = contigs(spark, sf).selectExpr("contig seq_name", "length", "depth cov", "if(path like '%Trim%', 'Y', 'N') circ", "isolate")
-    return rounded(AS.relative_depth(info), 6)
+    return AS.relative_depth(info)
 
 
 @query("isolate_report", f"""

@@ -10,7 +10,7 @@ from florametrics.operators import columns as C
 from florametrics.operators import reshape as R
 from florametrics.operators import setops as U
 from florametrics_queries.bindings import (
-    COUNTS, SAMPLES, STAGES, TAX, counts, rounded, samples, stages, table, tax,
+    COUNTS, SAMPLES, STAGES, TAX, counts, samples, stages, table, tax,
 )
 from florametrics_queries.registry import query
 
@@ -169,12 +169,12 @@ def _(spark, sf):
 
 @query("melt_abundance", f"""
 WITH {COUNTS}, {TAX}, {SAMPLES}, t AS (SELECT sample, sum(numseqs) AS total FROM counts WHERE numseqs > 0 GROUP BY sample)
-SELECT c.sample, c.taxon, c.numseqs, round(c.numseqs / t.total, 8) AS pctseqs, x.Phylum, s.grp
+SELECT c.sample, c.taxon, c.numseqs, c.numseqs / t.total AS pctseqs, x.Phylum, s.grp
 FROM counts c JOIN t USING (sample) LEFT JOIN tax x ON c.taxon = x.taxon LEFT JOIN samples s ON c.sample = s.sample
 WHERE c.numseqs > 0""")
 def _(spark, sf):
     out = R.melt_abundance(counts(spark, sf), tax(spark, sf), samples(spark, sf))
-    return rounded(out.select("sample", "taxon", "numseqs", "pctseqs", "Phylum", "grp"), 8)
+    return out.select("sample", "taxon", "numseqs", "pctseqs", "Phylum", "grp")
 
 
 @query("wide_counts", f"""

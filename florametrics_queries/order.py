@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from florametrics.operators import ordered as O
 from florametrics.operators import ranking as K
-from florametrics_queries.bindings import COUNTS, HITS, TAX, counts, hits, rounded, table, tax
+from florametrics_queries.bindings import COUNTS, HITS, TAX, counts, hits, table, tax
 from florametrics_queries.registry import query
 
 _GAPS = "e AS (SELECT event_id, ts, user_id, CASE WHEN event_id % 7 = 0 THEN value END AS v, CASE WHEN event_id % 11 = 3 THEN event_type END AS t FROM events)"
@@ -56,11 +56,11 @@ def _(spark, sf):
 
 @query("relative_to_longest", """
 WITH m AS (SELECT l_orderkey, arg_max(l_quantity, l_extendedprice) AS ref FROM lineitem GROUP BY l_orderkey)
-SELECT l.l_orderkey, l_partkey, l_extendedprice, round(l_quantity / ref, 6) AS depth FROM lineitem l JOIN m USING (l_orderkey)""")
+SELECT l.l_orderkey, l_partkey, l_extendedprice, l_quantity / ref AS depth FROM lineitem l JOIN m USING (l_orderkey)""")
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
     out = O.relative_to_max(li, ["l_orderkey"], of="l_quantity", by="l_extendedprice", out="depth")
-    return rounded(out.drop("l_quantity"), 6, "depth")
+    return out.drop("l_quantity")
 
 
 @query("top1_with_ties", """
@@ -128,6 +128,6 @@ def _(spark, sf):
 
 @query("labels_by_mean", """
 WITH m AS (SELECT l_suppkey, avg(l_quantity) AS mean FROM lineitem GROUP BY l_suppkey)
-SELECT l_suppkey, round(mean, 8) AS mean, row_number() OVER (ORDER BY mean, l_suppkey) AS position FROM m""")
+SELECT l_suppkey, mean, row_number() OVER (ORDER BY mean, l_suppkey) AS position FROM m""")
 def _(spark, sf):
-    return rounded(K.order_by_mean(table(spark, sf, "lineitem"), "l_suppkey", "l_quantity"), 8, "mean")
+    return K.order_by_mean(table(spark, sf, "lineitem"), "l_suppkey", "l_quantity")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from florametrics import functions as fn
-from florametrics_queries.bindings import HITS, TAX, hits, rounded, table, tax
+from florametrics_queries.bindings import HITS, TAX, hits, table, tax
 from florametrics_queries.registry import query
 
 
@@ -138,8 +138,8 @@ def _(spark, sf):
 
 
 @query("ratios", f"""
-WITH {HITS} SELECT qseqid, sseqid, CASE WHEN length - 1 <> 0 THEN round(CAST(qlen AS DOUBLE) / CAST(length - 1 AS DOUBLE) * 1000000.0, 4) END AS cpm
+WITH {HITS} SELECT qseqid, sseqid, CASE WHEN length - 1 <> 0 THEN CAST(qlen AS DOUBLE) / CAST(length - 1 AS DOUBLE) * 1000000.0 END AS cpm
 FROM hits""")
 def _(spark, sf):
     h = hits(spark, sf)
-    return rounded(h.select("qseqid", "sseqid", fn.ratio("qlen", F.col("length") - 1, 1e6).alias("cpm")), 4)
+    return h.select("qseqid", "sseqid", fn.ratio("qlen", F.col("length") - 1, 1e6).alias("cpm"))
