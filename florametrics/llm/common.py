@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from florametrics.llm.words import table_marks
 from florametrics.session import prepare, scratch_path
 
 #: ASCII white space: what parts words everywhere in this folder.
@@ -52,17 +53,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    """A session setting for the actions inside the block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def scored(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], out: str = "score") -> DataFrame:
     """All columns of ``docs`` and ``out``, the value ``score`` gives each text (null: empty); a column called ``out`` is replaced."""
     ship_modules()
@@ -89,3 +79,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, keep: Colum
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias("y"))
         .where(keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents))
     return saved(texts(docs).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y"), "labelled")
+
+
+def bit_table(ids: DataFrame, bits: int) -> np.ndarray:
+    """Table of ``2 ** bits`` bits that marks the ``id`` (long) column's values; its size does not depend on the data.
+
+    A full table would let everything through: it only spares work, the joins behind it decide.
+    """
+    ship_modules()
+
+    def task(frames):
+        for pdf in frames:
+            word, mark = table_marks(pdf.id.to_numpy(np.int64).view(np.uint64), bits)
+            yield pd.DataFrame({"word": word, "bits": mark})
+
+    table_ = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    marks = ids.select("id").mapInPandas(task, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    table_[marks.word.to_numpy(np.int64)] = marks.bits.to_numpy(np.int64).view(np.uint64)
+    return table_

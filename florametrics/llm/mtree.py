@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from florametrics.llm.common import saved, ship_modules
 
-PAGE, FAN = 128, 24
+PAGE, FAN = 512, 64
 BLOCK, QUERIES = 16_384, 512
 FOUND = "query_id long, vec_id long, score long"
 
@@ -39,10 +39,8 @@ def whole_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
 def _split(x: np.ndarray, rows: np.ndarray, rng) -> list[tuple[int, np.ndarray]]:
     """(object, rows nearest to it) for up to FAN objects; equal vectors are cut by number."""
-    objects = rng.choice(rows, min(FAN, len(rows)), replace=False)
-    d = np.linalg.norm(x[rows][:, None, :] - x[objects][None], axis=2) if len(rows) * len(objects) < 200_000 else np.stack(
-        [np.linalg.norm(x[rows] - x[o], axis=1) for o in objects], 1)
-    near = d.argmin(1)
+    objects = rng.choice(rows, min(FAN, -(-2 * len(rows) // PAGE)), replace=False)
+    near = np.stack([np.linalg.norm(x[rows] - x[o], axis=1) for o in objects], 1).argmin(1)
     groups = [(int(o), rows[near == i]) for i, o in enumerate(objects) if (near == i).any()]
     if len(groups) > 1:
         return groups

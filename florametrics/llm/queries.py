@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from florametrics.llm import brown, html, mtree, packing, quality, toxicity
+from florametrics.llm import brown, html, linedup, mtree, neardup, packing, quality, suffixes, tiling, toxicity
 from florametrics.llm.common import fold, labelled_sample, table, texts
 from florametrics.llm.registry import query
 
@@ -58,3 +58,28 @@ def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = brown.score(docs, fold("doc_id", 5) != 1)
     return found.withColumn("held_out", fold("doc_id", 5) == 1)
+
+
+@query("op7_odd_sketch_near_dedup")
+def op7_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lost = linedup.removed_lines(docs)
+    every = texts(docs).select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"))
+    return every.join(lost, "doc_id", "left").select(
+        "doc_id", "n_lines", F.size(F.coalesce("removed", F.array().cast("array<int>"))).alias("n_removed"),
+        F.array_sort("removed").alias("removed"))
+
+
+@query("op8_string_tiling")
+def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_repeated_bytes")
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
