@@ -7,6 +7,8 @@ their runs along diagonals, is marked again and again. The share of the item's
 words under tiles decides, so an item is found in whatever order its passages
 come.
 
+Words are compared in lower case and without marks.
+
 Defined results: null or wordless texts and items match nothing; items of fewer
 than ``least`` words must occur whole; equal items count each; a repeated
 doc_id is contaminated if one of its rows is; an empty table gives no rows, an
@@ -15,6 +17,8 @@ empty benchmark no contamination.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +28,14 @@ from florametrics.llm.common import bit_table, saved, ship_modules, texts
 from florametrics.llm.words import may_hold, shingles, word_hashes
 
 FILTER_BITS = 24
+#: Share of an item's words under tiles from which a document holds the item.
+THRESHOLD = 0.6
+MARKS = re.compile(r"[\W_]+")
+
+
+def plain(text: str) -> bytes:
+    """Lower case, runs of marks and white space as one blank."""
+    return MARKS.sub(" ", text.lower()).encode()
 
 
 def tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -65,7 +77,7 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int
 def _item_task(least: int):
     def task(frames):
         for pdf in frames:
-            hashes, edges = word_hashes([t.encode() for t in pdf.text])
+            hashes, edges = word_hashes([plain(t) for t in pdf.text])
             for key, a, b in zip(pdf.item_id, edges, edges[1:]):
                 if b > a:
                     grams = shingles(hashes[a:b], least).view(np.int64)
@@ -80,7 +92,7 @@ def _seed_task(table: np.ndarray, sizes: list[int]):
             out = []
             for k in range(0, len(pdf), 64):
                 part = pdf.iloc[k:k + 64]
-                hashes, edges = word_hashes([t.encode() for t in part.text])
+                hashes, edges = word_hashes([plain(t) for t in part.text])
                 for doc_id, a, b in zip(part.doc_id, edges, edges[1:]):
                     own = [g[may_hold(table, g)] for n in sizes if b - a >= n for g in [shingles(hashes[a:b], n)]]
                     own = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
@@ -99,7 +111,7 @@ def _tile_task(least: int):
     return task
 
 
-def coverages(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.6) -> DataFrame:
+def coverages(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, coverage) of pairs whose seeds could cover ``threshold`` of the item."""
     ship_modules()
     items = saved(benchmark.where(F.col("item_id").isNotNull()).select(
@@ -118,7 +130,7 @@ def coverages(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold:
     return pairs.mapInPandas(_tile_task(least), "doc_id long, item_id long, coverage double")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.6) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, n_items, item_id, coverage, contaminated) per document row: items covered enough, and the one covered most."""
     found = coverages(docs, benchmark, least, threshold).where(F.col("coverage") >= threshold).groupBy("doc_id").agg(
         F.count_distinct("item_id").alias("n_items"), F.max(F.struct("coverage", (-F.col("item_id")).alias("less"))).alias("best"))
