@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from florametrics.llm.words import table_marks
+from florametrics.llm.words import may_hold, table_marks
 from florametrics.session import prepare, scratch_path
 
 #: ASCII white space: what parts words everywhere in this folder.
@@ -97,3 +97,14 @@ def bit_table(ids: DataFrame, bits: int) -> np.ndarray:
     marks = ids.select("id").mapInPandas(task, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     table_[marks.word.to_numpy(np.int64)] = marks.bits.to_numpy(np.int64).view(np.uint64)
     return table_
+
+
+def only_of(rows: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows whose doc_id is an ``id`` of ``ids`` (distinct); a bit table keeps most others out of the shuffle."""
+    table_ = bit_table(ids, bits)
+
+    def task(frames):
+        for pdf in frames:
+            yield pdf[may_hold(table_, pdf.doc_id.to_numpy(np.int64).view(np.uint64))]
+
+    return rows.mapInPandas(task, rows.schema).join(ids.toDF("doc_id"), "doc_id", "left_semi")

@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florametrics.llm.common import saved
+from florametrics.llm.common import saved, ship_modules
+
+#: Rows of a key up to which those still apart meet in a join; beyond, they meet in blocks of this many.
+BLOCK = 256
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -41,14 +46,33 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable | None = None, scatter: bool = True) -> DataFrame:
+def _block_task(most: int):
+    """Pairs of a block (or of two blocks) of a key that are in different components and whose bitmaps are near."""
+    def task(key, pdf):
+        ids, c = pdf.id.to_numpy(np.int64), pdf.c.to_numpy(np.int64)
+        x = np.frombuffer(b"".join(pdf.bits), np.uint8).reshape(len(pdf), -1)
+        out = []
+        for i in range(len(ids) - 1):
+            hit = np.flatnonzero((np.bitwise_count(x[i + 1:] ^ x[i]).sum(1) <= most) & (c[i + 1:] != c[i])) + i + 1
+            out.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], 1))
+        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+    return task
+
+
+def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFrame, most: int, near: Callable | None = None,
+         scatter: bool = True) -> DataFrame:
     """(id, component) of all ids linked to others; ``rows`` holds (key, id) and, with ``near``, tag; ids once per key.
 
     ``scatter`` takes each key's leaders by a hash of key and id; without it the least and largest id lead, which
     does where ids are hashes.
 
+    ``bits`` (id, bits binary) has a bitmap of each id; pairs whose bitmaps differ in more than ``most`` bits are no links.
+    It serves where many rows of a key are still apart: they are then compared in blocks within tasks.
+
     ``verify`` turns candidate pairs (a, b), a < b, into links; ``near(tag, tag)`` is a cheap test that comes before it.
     """
+    ship_modules()
     held = ["id", "tag"] if near else ["id"]
     near = near or (lambda a, b: F.lit(True))
     own = F.struct(F.xxhash64("id", "key").alias("order"), *held) if scatter else F.struct(*held)
@@ -69,15 +93,23 @@ def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callab
     links = saved(verify(first), "links")
     found = components(links)
     # Keys whose rows are in several components: there, rows outside the first leader's component meet all others.
-    placed = many.select("key", *held, "p_id").join(found.toDF("id", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    placed = many.select("key", "n", *held, "p_id").join(found.toDF("id", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
     placed = saved(placed.join(found.toDF("p_id", "main"), "p_id", "left").withColumn("main", F.coalesce("main", "p_id")), "placed")
-    outside = placed.where("c <> main").select("key", *named("", "a"), F.col("c").alias("ca"), F.col("main").alias("m"))
-    torn = outside.select("key").distinct()
-    other = placed.join(torn, "key", "left_semi").select("key", *named("", "b"), F.col("c").alias("cb"))
+    apart = placed.where("c <> main")
+    outside = apart.where(F.col("n") <= BLOCK).select("key", *named("", "a"), F.col("c").alias("ca"), F.col("main").alias("m"))
+    torn = apart.select("key").distinct()
+    inside = saved(placed.join(torn, "key", "left_semi"), "torn")
+    other = inside.select("key", *named("", "b"), F.col("c").alias("cb"))
     meet = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("m")) | (F.col("a_id") < F.col("b_id")))
     if "tag" in held:
         meet = meet & near(F.col("a_tag"), F.col("b_tag"))
-    rest = pairs(outside.join(other, "key").where(meet)).join(first, ["a", "b"], "left_anti")
+    rest = pairs(outside.join(other, "key").where(meet))
+    large = inside.where(F.col("n") > BLOCK).join(bits, "id").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    large = large.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = large.groupBy("key", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")).applyInPandas(
+        _block_task(most), "a long, b long").distinct()
+    rest = rest.unionByName(met).join(first, ["a", "b"], "left_anti")
     more = saved(verify(saved(rest, "rest")), "links")
     if more.isEmpty():
         return found

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florametrics.llm.common import saved, ship_modules, texts
+from florametrics.llm.common import only_of, saved, ship_modules, texts
 from florametrics.llm.linking import link
 from florametrics.llm.words import mix, shingles, word_hashes
 
@@ -103,10 +103,10 @@ def _estimate_task(least: float):
     return task
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, margin: float = 0.15) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, margin: float = 0.1) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; links where ``100 * both >= percent * either``.
 
-    ``margin`` is how far below ``percent`` an estimate still goes to confirmation (some five standard deviations).
+    ``margin`` is how far below ``percent`` an estimate still goes to confirmation (some four standard deviations).
     """
     ship_modules()
     rows = texts(docs)
@@ -119,13 +119,14 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, margin:
     def verify(pairs: DataFrame) -> DataFrame:
         sized = pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
         likely = saved(sized.mapInPandas(_estimate_task(percent / 100 - margin), "a long, b long"), "likely")
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        held = saved(rows.join(wanted, "doc_id", "left_semi"), "texts")
+        wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        held = saved(only_of(rows, wanted), "texts")
         both = likely.join(held.toDF("a", "text_a"), "a").join(held.toDF("b", "text_b"), "b")
         return both.mapInPandas(_confirm_task(words, percent), "a long, b long")
 
     size = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    found = link(keyed, verify, size)
+    most = int((similarity(np.arange(BITS // 2)) >= percent / 100 - margin).sum()) - 1
+    found = link(keyed, verify, sketch.withColumnRenamed("sketch", "bits"), most, size)
     of_set = heads.select("same", "id").join(found, "id", "left").select("same", F.coalesce("component", "id").alias("component_id"))
     placed = sketched.select("doc_id", "n_shingles", "same").join(of_set, "same", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return placed.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
