@@ -24,13 +24,15 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florametrics.llm.common import saved, ship_modules, texts
-from florametrics.llm.words import mix
+from florametrics.llm.common import bit_table, only_of, saved, ship_modules, texts
+from florametrics.llm.words import may_hold, mix
 
 GRAM = 24
+FILTER_BITS = 27
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -92,7 +94,8 @@ def _region_hash(data: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.n
     return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _anchor_task(span: int, full: bool):
+def _anchor_task(span: int, table: np.ndarray | None = None):
+    """Anchor hashes; with a bit table, those it may hold, with their regions' hashes and places."""
     reach = span - GRAM
 
     def task(frames):
@@ -101,10 +104,13 @@ def _anchor_task(span: int, full: bool):
             for doc_id, text in zip(pdf.doc_id, pdf.text):
                 data = np.frombuffer(text.encode(), dtype=np.uint8)
                 at, h = anchors(data, span)
+                if table is not None and len(at):
+                    may = may_hold(table, h)
+                    at, h = at[may], h[may]
                 if not len(at):
                     continue
                 hashes.append(h.view(np.int64))
-                if full:
+                if table is not None:
                     low, high = np.maximum(at - reach, 0), np.minimum(at + span, len(data))
                     doc_ids.append(np.full(len(at), doc_id))
                     ats.append(at)
@@ -112,7 +118,7 @@ def _anchor_task(span: int, full: bool):
             if not hashes:
                 continue
             h = np.concatenate(hashes)
-            yield pd.DataFrame({"h": h, "r": np.concatenate(regions), "doc_id": np.concatenate(doc_ids), "at": np.concatenate(ats)}) if full else pd.DataFrame({"h": h})
+            yield pd.DataFrame({"h": h, "r": np.concatenate(regions), "doc_id": np.concatenate(doc_ids), "at": np.concatenate(ats)}) if table is not None else pd.DataFrame({"h": h})
     return task
 
 
@@ -168,8 +174,10 @@ def repeats(strings: list[bytes], first: np.ndarray, span: int) -> list[np.ndarr
     # An equal start found through another region of the same place is no earlier one.
     at = order[np.flatnonzero(lead)][np.cumsum(lead) - 1]
     later = order[(doc[order] != doc[at]) | (place[order] != place[at])]
-    for i in np.unique(string[later]):
-        out[i] = np.sort(start[later[string[later] == i]])
+    later = later[np.lexsort((start[later], string[later]))]
+    cut = np.flatnonzero(np.diff(string[later])) + 1
+    for own in np.split(later, cut) if len(later) else []:
+        out[string[own[0]]] = start[own]
     return out
 
 
@@ -192,6 +200,21 @@ def _collection_task(span: int):
     return task
 
 
+def _squeeze_task(frames):
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for pdf in frames:
+        yield pd.DataFrame({"doc_id": pdf.doc_id, "packed": [squeeze(t.encode()) for t in pdf.text]})
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """Texts compressed before they are shuffled."""
+    return rows.mapInPandas(_squeeze_task, "doc_id long, packed binary")
+
+
 def _cut_task(span: int):
     """Regions of the wanted anchors of each document."""
     reach = span - GRAM
@@ -199,12 +222,12 @@ def _cut_task(span: int):
     def task(frames):
         for pdf in frames:
             out = []
-            for doc_id, text, spots in zip(pdf.doc_id, pdf.text, pdf.spots):
-                data = text.encode()
+            for doc_id, packed, spots in zip(pdf.doc_id, pdf.packed, pdf.spots):
+                data = _unpack(packed)
                 for s in spots:
                     low = max(s["at"] - reach, 0)
-                    out.append((s["h"], doc_id, low, data[low:s["at"] + span]))
-            yield pd.DataFrame(out, columns=["h", "doc_id", "low", "region"])
+                    out.append((s["h"], s["regions"], doc_id, low, data[low:s["at"] + span]))
+            yield pd.DataFrame(out, columns=["h", "regions", "doc_id", "low", "region"])
     return task
 
 
@@ -212,18 +235,24 @@ def _part_task(span: int):
     """Every ``span`` bytes of regions, as two hashes."""
     def task(frames):
         for pdf in frames:
-            for h, doc_id, low, region in zip(pdf.h, pdf.doc_id, pdf.low, pdf.region):
-                if len(region) >= span:
-                    w = gram_hashes(np.frombuffer(region, np.uint8), span).view(np.int64)
-                    yield pd.DataFrame({"h": h, "w": w, "doc_id": doc_id, "start": low + np.arange(len(w))})
+            for i in range(0, len(pdf), 500):
+                part = pdf.iloc[i:i + 500]
+                size = np.array([len(x) for x in part.region])
+                count = np.maximum(size - span + 1, 0)
+                begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+                inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                data = np.frombuffer(b"".join(part.region), np.uint8)
+                w = gram_hashes(data, span)[np.repeat(begin, count) + inside] if count.sum() else np.zeros(0, np.uint64)
+                rep = lambda c: np.repeat(part[c].to_numpy(np.int64), count)
+                yield pd.DataFrame({"h": rep("h"), "w": w.view(np.int64), "doc_id": rep("doc_id"), "start": rep("low") + inside})
     return task
 
 
 def _digest_task(frames):
     for pdf in frames:
         out = []
-        for doc_id, text, ranges in zip(pdf.doc_id, pdf.text, pdf.ranges):
-            data = text.encode()
+        for doc_id, packed, ranges in zip(pdf.doc_id, pdf.packed, pdf.ranges):
+            data = _unpack(packed)
             at, spans, removed, kept = 0, 0, 0, hashlib.sha256()
             for low, high in _joined([] if ranges is None else [(r["low"], min(r["high"], len(data))) for r in ranges]):
                 kept.update(data[at:low])
@@ -250,8 +279,8 @@ def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 4000, collecti
     """
     ship_modules()
     rows = texts(docs)
-    twice = saved(rows.mapInPandas(_anchor_task(span, False), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
-    spots = saved(rows.mapInPandas(_anchor_task(span, True), "h long, r int, doc_id long, at int").join(twice, "h"), "spots")
+    twice = saved(rows.mapInPandas(_anchor_task(span), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
+    spots = saved(rows.mapInPandas(_anchor_task(span, bit_table(twice.toDF("id"), FILTER_BITS)), "h long, r int, doc_id long, at int").join(twice, "h"), "spots")
     firsts = saved(spots.groupBy("h", "r").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")), "regions")
     reach = span - GRAM
     # Later occurrences of a region: all of it is repeated. The text's end, where the region may be shorter, is cut off when ranges meet the text.
@@ -259,9 +288,10 @@ def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 4000, collecti
         "doc_id", F.greatest(F.col("at") - reach, F.lit(0)).cast("long").alias("low"), (F.col("at") + span).cast("long").alias("high"))
     several = firsts.groupBy("h").agg(F.count("*").alias("regions")).where("regions > 1")
     compared = firsts.join(several, "h").select("h", "regions", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"))
-    wanted = compared.groupBy("doc_id").agg(F.collect_list(F.struct("h", "at")).alias("spots"))
-    cut = saved(rows.join(wanted, "doc_id").mapInPandas(_cut_task(span), "h long, doc_id long, low long, region binary").distinct()
-                .join(several, "h"), "collections")
+    wanted = saved(compared.groupBy("doc_id").agg(F.collect_list(F.struct("h", "regions", "at")).alias("spots")), "wanted")
+    some = only_of(rows, wanted.select(F.col("doc_id").alias("id")))
+    cut = saved(_packed(some).join(wanted, "doc_id").mapInPandas(
+        _cut_task(span), "h long, regions long, doc_id long, low long, region binary"), "collections")
     total = cut.count()
     some = cut.where(F.col("regions") <= most).withColumn("lot", F.pmod("h", F.lit(-(-max(1, total) // collection))))
     sorted_ = some.groupBy("lot").applyInPandas(_collection_task(span), "doc_id long, low long, high long")
@@ -275,5 +305,5 @@ def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 4000, collecti
 def remove_repeats(docs: DataFrame, span: int = 100) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     ranges = saved(repeated_ranges(docs, span), "ranges").groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    return texts(docs).join(ranges, "doc_id", "left").mapInPandas(
+    return _packed(texts(docs)).join(ranges, "doc_id", "left").mapInPandas(
         _digest_task, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
