@@ -103,8 +103,11 @@ def only_of(rows: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
     """The rows whose doc_id is an ``id`` of ``ids`` (distinct); a bit table keeps most others out of the shuffle."""
     table_ = bit_table(ids, bits)
 
-    def task(frames):
-        for pdf in frames:
-            yield pdf[may_hold(table_, pdf.doc_id.to_numpy(np.int64).view(np.uint64))]
+    at = rows.columns.index("doc_id")
+
+    def task(batches):
+        for batch in batches:
+            ids_ = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield batch.filter(pa.array(may_hold(table_, ids_.view(np.uint64))))
 
-    return rows.mapInPandas(task, rows.schema).join(ids.toDF("doc_id"), "doc_id", "left_semi")
+    return rows.mapInArrow(task, rows.schema).join(ids.toDF("doc_id"), "doc_id", "left_semi")

@@ -98,7 +98,7 @@ def price(values: np.ndarray, capacity: int) -> dict[int, int]:
     return config
 
 
-def solve(counts: dict[int, int], capacity: int, rounds: int = 400, step: float = 0.25) -> list[tuple[dict[int, int], float]]:
+def solve(counts: dict[int, int], capacity: int, rounds: int = 400, step: float = 0.05) -> list[tuple[dict[int, int], float]]:
     """Configurations with fractional counts: multiplicative weights over the lengths, knapsack pricing.
 
     Weight ``exp(-covered share)``; a round adds its configuration until the
@@ -146,17 +146,24 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
 
 
 def plan(counts: dict[int, int], capacity: int, rounds: int = 400) -> list[tuple[dict[int, int], int]]:
-    """Configurations with whole counts that use every length exactly as often as it occurs."""
-    left = {k: v for k, v in counts.items() if v > 0}
-    whole = []
-    fill = lambda c: sum(k * v for k, v in c.items())
-    for config, amount in sorted(solve(left, capacity, rounds), key=lambda x: -fill(x[0])):
-        times = min(int(amount), *(left[k] // v for k, v in config.items()))
-        if times > 0:
-            whole.append((config, times))
-            for k, v in config.items():
-                left[k] -= v * times
-    return whole + best_fit({k: v for k, v in left.items() if v > 0}, capacity)
+    """Configurations with whole counts that use every length exactly as often as it occurs.
+
+    The fractional solution is rounded down after scaling; of a few scales the one with fewest sequences is taken.
+    """
+    counts = {k: v for k, v in counts.items() if v > 0}
+    solved = sorted(solve(counts, capacity, rounds), key=lambda x: -sum(k * v for k, v in x[0].items()))
+
+    def rounded(scale: float) -> list[tuple[dict[int, int], int]]:
+        left, whole = dict(counts), []
+        for config, amount in solved:
+            times = min(int(amount * scale), *(left[k] // v for k, v in config.items()))
+            if times > 0:
+                whole.append((config, times))
+                for k, v in config.items():
+                    left[k] -= v * times
+        return whole + best_fit({k: v for k, v in left.items() if v > 0}, capacity)
+
+    return min((rounded(s) for s in (1.0, 0.75, 0.5, 0.25)), key=lambda entries: sum(times for _, times in entries))
 
 
 def _places(entries: list[tuple[dict[int, int], int]]):

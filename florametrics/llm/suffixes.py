@@ -259,7 +259,7 @@ def _digest_task(frames):
                 at, spans, removed = high, spans + 1, removed + high - low
             kept.update(data[at:])
             out.append((doc_id, len(data), removed, spans, kept.hexdigest()))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], dtype=object)
 
 
 def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
