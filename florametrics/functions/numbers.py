@@ -15,9 +15,10 @@ def lenient_number(c, dtype: str = "double") -> Column:
     return F.trim(col_of(c)).try_cast(dtype)
 
 
-def lenient_date(c, formats=("yyyy-MM-dd", "yyyy/MM/dd")) -> Column:
-    """Date in the first format that fits, or NULL."""
-    return F.coalesce(*[F.try_to_date(col_of(c), f) for f in formats])
+def lenient_date(c, formats=("yyyy-M-d", "yyyy/M/d")) -> Column:
+    """Date in the first format that fits, or NULL; what follows the date, such as a time, is left out."""
+    day = F.nullif(F.regexp_extract(col_of(c), r"^\s*(\d{4}[-/]\d{1,2}[-/]\d{1,2})(?!\d)", 1), F.lit(""))
+    return F.coalesce(*[F.try_to_date(day, f) for f in formats])
 
 
 def ratio(a, b, scale: float = 1.0) -> Column:

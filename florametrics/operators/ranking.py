@@ -35,7 +35,7 @@ def best_struct(criteria) -> Column:
     """Comparable struct: larger is better, a NULL loses to every value."""
     fields = []
     for i, (expr, direction) in enumerate(criteria):
-        value = col_of(expr).cast("double")
+        value = col_of(expr)
         fields.append((-value if direction == "asc" else value).alias(f"k{i}"))
     return F.struct(*fields)
 

@@ -65,9 +65,8 @@ def melt_abundance(counts: DataFrame, tax: DataFrame, samples: DataFrame | None
 
 
 def wide_counts(counts: DataFrame, taxa, sample: str = "sample", taxon: str = "taxon", value: str = "numseqs",
-                max_cols: int = 5000) -> DataFrame:
-    """Sample×taxon matrix for export; refuses more columns than a file reader can take."""
+                rest: str = "other") -> DataFrame:
+    """Sample×taxon matrix for export; counts of taxa outside ``taxa`` (and of none) are summed in ``rest``."""
     taxa = list(taxa)
-    if len(taxa) > max_cols:
-        raise ValueError(f"{len(taxa)} taxa exceed max_cols={max_cols}; export the long table instead")
-    return counts.groupBy(sample).pivot(taxon, taxa).agg(F.sum(value)).fillna(0)
+    named = counts.withColumn(taxon, F.when(F.col(taxon).isin(taxa), F.col(taxon)).otherwise(rest))
+    return named.groupBy(sample).pivot(taxon, list(dict.fromkeys([*taxa, rest]))).agg(F.sum(value)).fillna(0)

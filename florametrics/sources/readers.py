@@ -119,6 +119,38 @@ def _tsv(spark, paths, schema, header=False, **opts) -> DataFrame:
     return read_many(spark, paths, "csv", schema, sep="\t", header=header, quote="", **opts)
 
 
+def _headed(spark, paths, schema: str, sep: str = "\t", quote: str = "", ordered: bool = False, extra: bool = False, **opts) -> DataFrame:
+    """Delimited files with a header, bound by column name.
+
+    Files are grouped by their header line, of which there are as many as there
+    are layouts; each layout is one scan with its own column order. A column
+    that a file lacks is NULL, and one that the schema does not name is left out
+    unless ``extra``.
+    """
+    fields = T.StructType.fromDDL(schema)
+    scan = {k: v for k, v in opts.items() if k in ("recursive", "name_glob", "min_bytes")}
+    lines = read_many(spark, paths, "text", ordered=True, **scan).where(F.col(f"{FILE_ORDER}.block") == 0)
+    heads = lines.groupBy(F.col(f"{FILE_ORDER}.file").alias("file")).agg(F.min_by("value", FILE_ORDER).alias("head"))
+    layouts = [r["head"] for r in heads.select("head").distinct().orderBy("head").collect()]
+    parts = []
+    for head in layouts or [sep.join(fields.names)]:
+        names = [n.strip().strip(quote or None) if quote else n.strip() for n in head.lstrip("\ufeff").split(sep)]
+        # A repeated name keeps its first column.
+        seen = [n if n not in names[:i] else f"__{i}" for i, n in enumerate(names)]
+        text = T.StructType([T.StructField(n or f"__{i}", T.StringType()) for i, n in enumerate(seen)])
+        df = read_many(spark, paths, "csv", text, sep=sep, header=True, quote=quote, ordered=ordered, **opts)
+        if len(layouts) > 1:
+            own = [r["file"] for r in heads.where(F.col("head") == head).select("file").collect()]
+            df = df.where(F.col("_metadata.file_path").isin(own))
+        cells = [(F.col(f"`{f.name}`") if f.name in seen else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in fields]
+        more = [F.col(f"`{n}`") for n in text.names if extra and n not in fields.names and not n.startswith("__")]
+        parts.append(df.select(*cells, *more, "filename", *([FILE_ORDER] if ordered else [])))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_kraken_reads(spark, paths, **opts) -> DataFrame:
     """Read-level classification, no header."""
     return _tsv(spark, paths, KRAKEN_READ, **opts)
@@ -133,7 +165,7 @@ def read_kraken_contigs(spark, paths, cohort: str | None = None, **opts) -> Data
 
 def read_bracken(spark, paths, **opts) -> DataFrame:
     """Abundance reports with header; the sample is the name before ``_report_<level>.txt``."""
-    df = _tsv(spark, paths, BRACKEN, header=True, **opts)
+    df = _headed(spark, paths, BRACKEN, **opts)
     return df.withColumn("seq_id", sample_from_path("filename", "_report_[A-Za-z]+.txt"))
 
 
@@ -176,7 +208,7 @@ def read_blastn(spark, paths, ncols: int = 18, **opts) -> DataFrame:
 
 def read_blast_taxonomy(spark, paths, **opts) -> DataFrame:
     """Alignment hits already joined to their lineage, CSV with header."""
-    return read_many(spark, paths, "csv", BLAST_TAX, header=True, **opts)
+    return _headed(spark, paths, BLAST_TAX, sep=",", quote='"', **opts)
 
 
 def read_quast(spark, paths, **opts) -> DataFrame:
@@ -186,7 +218,7 @@ def read_quast(spark, paths, **opts) -> DataFrame:
 
 
 def read_gene_table(spark, paths, **opts) -> DataFrame:
-    return _tsv(spark, paths, GENE_TABLE, header=True, **opts)
+    return _headed(spark, paths, GENE_TABLE, **opts)
 
 
 def read_fasta(spark, paths, **opts) -> DataFrame:
@@ -207,15 +239,23 @@ def read_gff(spark, paths, wanted=None, **opts) -> DataFrame:
     lines = read_many(spark, paths, "text", **opts)
     parts = F.split("value", "\t")
     df = lines.filter(~F.col("value").startswith("#")).filter(F.size(parts) == 9)
-    attributes = F.str_to_map(F.element_at(parts, 9), F.lit(";"), F.lit("="))
+    pairs = F.transform(F.split(F.element_at(parts, 9), ";"), lambda x: F.split(F.trim(x), "=", 2))
+    pairs = F.filter(pairs, lambda x: (F.size(x) == 2) & (F.element_at(x, 1) != ""))
+
+    def values(name: str) -> Column:
+        """All values of an attribute, joined by commas; escapes that are none stay as they are."""
+        own = F.transform(F.filter("__attr", lambda x: F.element_at(x, 1) == name), lambda x: F.element_at(x, 2))
+        readable = F.transform(own, lambda v: F.coalesce(F.try_url_decode(F.replace(v, F.lit("+"), F.lit("%2B"))), v))
+        return F.when(F.size(own) > 0, F.array_join(readable, ","))
+
     cast = {"start": "long", "end": "long"}
     fixed = [
         F.nullif(F.element_at(parts, i + 1), F.lit(".")).try_cast(cast.get(n, "string")).alias(n)
         for i, n in enumerate(GFF_FIXED)
     ]
-    made = [decoded(F.try_element_at(F.col("__attr"), F.lit(n))).alias(n) for n in (wanted or GFF_WANTED)]
+    made = [values(n).alias(n) for n in (wanted or GFF_WANTED)]
     rest = [c for c in df.columns if c != "value"]
-    return df.select(*fixed, attributes.alias("__attr"), *rest).select(*GFF_FIXED, *made, *rest)
+    return df.select(*fixed, pairs.alias("__attr"), *rest).select(*GFF_FIXED, *made, *rest)
 
 
 def read_crispr_json(spark, paths, min_bytes: int = 4500, one_per_line: bool = False, **opts) -> DataFrame:
@@ -260,7 +300,7 @@ def read_fai(spark, paths, strip_polish: bool = False, **opts) -> DataFrame:
 
 def read_report(spark, paths, kind: str, isolate_part: int = -2, **opts) -> DataFrame:
     """Headed tool reports with the isolate taken from a path component."""
-    df = _tsv(spark, paths, REPORTS[kind], header=True, **opts)
+    df = _headed(spark, paths, REPORTS[kind], **opts)
     return df.withColumn("isolate", path_part("filename", isolate_part))
 
 
@@ -276,7 +316,7 @@ def read_trim_log(spark, paths, sep: str = ":", **opts) -> DataFrame:
 def read_clinical(spark, folder, pattern: str, schema: str, **opts) -> DataFrame:
     """CSV exports found by name. Blank cells are empty text, ``NA`` is missing; rows keep their file order."""
     fields = T.StructType.fromDDL(schema)
-    df = read_many(spark, folder, "csv", fields, header=True, name_glob=pattern, ordered=True, **opts)
+    df = _headed(spark, folder, schema, sep=",", quote='"', name_glob=pattern, ordered=True, **opts)
     texts = {f.name: F.nullif(F.coalesce(F.col(f.name), F.lit("")), F.lit("NA"))
              for f in fields if f.dataType == T.StringType()}
     return df.withColumns(texts)

@@ -62,6 +62,8 @@ def write_fasta(df: DataFrame, path: str, name: str = "seq_name", sequence: str
                 partition_by=()) -> None:
     """``>name`` and sequence lines; partition columns become folders."""
     header = F.when(F.col(name).startswith(">"), F.col(name)).otherwise(F.concat(F.lit(">"), F.col(name)))
-    text = df.select(*partition_by, F.concat(header, F.lit("\n"), F.col(sequence)).alias("value"))
+    # A line break inside a name or a sequence would start another line, or another record.
+    header = F.regexp_replace(header, r"[\r\n]+", " ")
+    text = df.select(*partition_by, F.concat(header, F.lit("\n"), F.regexp_replace(sequence, r"\s", "")).alias("value"))
     writer = text.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)

@@ -181,7 +181,8 @@ def _(spark, sf):
 WITH {COUNTS}, {TAX}, k AS (SELECT sample, Kingdom, numseqs FROM counts JOIN tax USING (taxon))
 SELECT sample, CAST(coalesce(sum(numseqs) FILTER (WHERE Kingdom = 'ECONOMY'), 0) AS BIGINT) AS "ECONOMY",
        CAST(coalesce(sum(numseqs) FILTER (WHERE Kingdom = 'PROMO'), 0) AS BIGINT) AS "PROMO",
-       CAST(coalesce(sum(numseqs) FILTER (WHERE Kingdom = 'SMALL'), 0) AS BIGINT) AS "SMALL"
+       CAST(coalesce(sum(numseqs) FILTER (WHERE Kingdom = 'SMALL'), 0) AS BIGINT) AS "SMALL",
+       CAST(coalesce(sum(numseqs) FILTER (WHERE Kingdom IS NULL OR Kingdom NOT IN ('ECONOMY', 'PROMO', 'SMALL')), 0) AS BIGINT) AS "other"
 FROM k GROUP BY sample""")
 def _(spark, sf):
     by_kingdom = counts(spark, sf).join(tax(spark, sf), "taxon").select("sample", F.col("Kingdom").alias("taxon"), "numseqs")

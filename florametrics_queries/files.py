@@ -124,10 +124,10 @@ def _(spark, sf):
 
 
 @query("fasta_records", """
-SELECT 'D' || doc_id || ' ' || lang AS seq_name, regexp_replace(text, '\\s', '', 'g') AS sequence FROM documents WHERE text NOT LIKE '%' || chr(10) || '>%'""")
+SELECT 'D' || doc_id || ' ' || lang AS seq_name, regexp_replace(text, '\\s', '', 'g') AS sequence FROM documents""")
 def _(spark, sf):
     """Documents as wrapped FASTA records."""
-    docs = table(spark, sf, "documents").filter(~F.col("text").contains("\n>"))
+    docs = table(spark, sf, "documents")
     records = docs.select(F.concat(F.lit("D"), "doc_id", F.lit(" "), "lang").alias("seq_name"), F.col("text").alias("sequence"))
     path = scratch_path(spark, "fasta")
     S.write_fasta(records, path)
