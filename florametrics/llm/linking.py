@@ -110,7 +110,10 @@ def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFr
     met = large.groupBy("key", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")).applyInPandas(
         _block_task(most), "a long, b long").distinct()
     rest = rest.unionByName(met).join(first, ["a", "b"], "left_anti")
-    more = saved(verify(saved(rest, "rest")), "links")
+    rest = saved(rest, "rest")
+    if rest.isEmpty():
+        return found
+    more = saved(verify(rest), "links")
     if more.isEmpty():
         return found
     # Components take the place of the links they were made from.
