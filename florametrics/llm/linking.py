@@ -87,7 +87,8 @@ def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFr
         df = df.where(near(F.col("a_tag"), F.col("b_tag"))) if "tag" in held else df
         return df.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).where("a < b").distinct()
 
-    many = rows.join(leaders.where("n > 2"), "key")
+    # Leaders grow with the data: their compressed files look small enough for a broadcast that the driver can't hold.
+    many = rows.join(leaders.where("n > 2").hint("merge"), "key")
     first = saved(pairs(leaders.select(*named("p_", "a"), *named("q_", "b")).unionByName(many.select(F.explode(F.array(
         *(F.struct(*named("", "a"), *named(f"{x}_", "b")) for x in "pq"))).alias("s")).select("s.*"))), "pairs")
     links = saved(verify(first), "links")
