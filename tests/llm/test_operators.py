@@ -147,6 +147,22 @@ def test_odd_sketch_estimate():
 # op3
 
 
+def test_edit_distance_is_that_of_the_table():
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(3)
+    for _ in range(500):
+        a, b = ("".join(rng.choice("ab\u00e9\U0001f600") for _ in range(rng.randint(0, 80))) for _ in range(2))
+        b = rng.choice([a, b, a[:rng.randint(0, 80)] + b[:4] + a[rng.randint(0, 80):]])
+        assert linedup.edit_distance(a, b) == table(a, b)
+
+
 def test_line_dedup(documents):
     rng = random.Random(4)
     line, other = sentence(rng, 90), sentence(rng, 90)
