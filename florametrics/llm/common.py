@@ -99,15 +99,19 @@ def bit_table(ids: DataFrame, bits: int) -> np.ndarray:
     return table_
 
 
-def only_of(rows: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
-    """The rows whose doc_id is an ``id`` of ``ids`` (distinct); a bit table keeps most others out of the shuffle."""
-    table_ = bit_table(ids, bits)
-
-    at = rows.columns.index("doc_id")
+def sifted(rows: DataFrame, column: str, table_: np.ndarray) -> DataFrame:
+    """The rows whose ``column`` (long, not null) a bit table may hold."""
+    ship_modules()
+    at = rows.columns.index(column)
 
     def task(batches):
         for batch in batches:
-            ids_ = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield batch.filter(pa.array(may_hold(table_, ids_.view(np.uint64))))
+            values = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield batch.filter(pa.array(may_hold(table_, values.view(np.uint64))))
 
-    return rows.mapInArrow(task, rows.schema).join(ids.toDF("doc_id"), "doc_id", "left_semi")
+    return rows.mapInArrow(task, rows.schema)
+
+
+def only_of(rows: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows whose doc_id is an ``id`` of ``ids`` (distinct); a bit table keeps most others out of the shuffle."""
+    return sifted(rows, "doc_id", bit_table(ids, bits)).join(ids.toDF("doc_id"), "doc_id", "left_semi")
