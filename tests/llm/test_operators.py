@@ -174,6 +174,22 @@ def test_line_dedup(documents):
     assert got == {1: rows[0][1], 2: "Own start here\n\n---", 4: None, 5: "new words only"} | ({} if linked else {3: near})
 
 
+def test_line_dedup_removes_near_copies_of_every_length(documents):
+    """One changed word moves more SimHash bits than the pigeonhole blocks allow, in short lines and in the line of 90 words."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i, n in enumerate([10, 12, 20, 30, 50, 90] * 5):
+        line = sentence(rng, n)
+        changed = line.split()
+        at = rng.randrange(n)
+        changed[at] = changed[at][:2] + "y"
+        rows += [(i, line), (100 + i, " ".join(changed))]
+        want[i] = line
+    sims = [linedup.simhash([t.encode() for _, t in rows[k::2]]).view(np.uint64) for k in (0, 1)]
+    assert (np.bitwise_count(sims[0] ^ sims[1]) > 3).sum() > 10
+    assert {r["doc_id"]: r["text"] for r in linedup.dedup_lines(documents(rows)).collect()} == want
+
+
 def test_line_dedup_odd(documents, odd):
     got = {r["doc_id"]: r["text"] for r in linedup.dedup_lines(documents(odd, at="x", id="y")).collect()}
     assert got == {i: t for i, t in odd if i not in (5, 11)}
