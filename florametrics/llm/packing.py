@@ -4,9 +4,10 @@ The lengths of all pieces form a histogram of at most ``capacity`` counts; that
 histogram is all the driver sees. A configuration is a multiset of lengths that
 fits one sequence. The covering program (fewest sequences, every length used as
 often as it occurs) is solved by multiplicative weights: each round prices the
-lengths by their weights, finds the best configuration by a knapsack dynamic
-program, and lowers the weights of what it covers. The fractional solution is
-rounded down, the rest placed best-fit, largest first, on the histogram.
+lengths by their weights, finds the best configurations by a knapsack dynamic
+program, and lowers the weights of what they cover, until every length is
+covered. The fractional solution is rounded; what rounding leaves is placed
+best-fit, largest first, on the histogram.
 Pieces then take the places of their length in order of rank.
 """
 
@@ -25,6 +26,8 @@ from florametrics.llm.common import saved, ship_modules, texts
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
+#: How much more than its tokens a length of the whole capacity is worth, and about how many lengths one knapsack picks from.
+LONG, GROUP = 1.0, 128
 #: The split pattern of the byte-level vocabulary (fixed value), in its form without backtracking.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
@@ -81,49 +84,81 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     return texts(docs).mapInPandas(_cut(tokenizer, end_id, capacity), PIECES)
 
 
-def price(values: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack by dynamic programming: the multiset of lengths of most value that fits; ``values[l - 1]`` is length l's."""
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
+def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> list[dict[int, int]]:
+    """Knapsack by dynamic programming, for each row of lengths: the multiset of most value that fits; lengths without value are not used."""
+    rows = len(lengths)
+    best = np.full((2 * capacity + 1, rows), -np.inf)  # a room below 0 holds nothing
+    best[capacity] = 0
+    take, flat = np.full((capacity + 1, rows), -1), best.ravel()
+    at, every = (capacity - lengths) * rows + np.arange(rows)[:, None], np.arange(rows)
     for room in range(1, capacity + 1):
-        got = values[:room] + best[room - 1::-1]
-        i = int(got.argmax())
-        best[room], take[room] = (got[i], i + 1) if got[i] > best[room - 1] else (best[room - 1], 0)
-    config, room = {}, capacity
-    while room > 0:
-        if take[room] == 0:
-            room -= 1
-            continue
-        config[int(take[room])] = config.get(int(take[room]), 0) + 1
-        room -= int(take[room])
-    return config
+        got = flat[at + room * rows] + values
+        i = got.argmax(1)
+        most, before = got[every, i], best[capacity + room - 1]
+        take[room] = np.where(most > before, i, -1)
+        best[capacity + room] = np.maximum(most, before)
+    out = []
+    for row in range(rows):
+        config, room = {}, capacity
+        while room > 0:
+            i = take[room, row]
+            length = int(lengths[row, i]) if i >= 0 else 0
+            if length:
+                config[length] = config.get(length, 0) + 1
+            room -= length or 1
+        out.append(config)
+    return out
 
 
 def solve(counts: dict[int, int], capacity: int, rounds: int = 400, step: float = 0.05) -> list[tuple[dict[int, int], float]]:
-    """Configurations with fractional counts: multiplicative weights over the lengths, knapsack pricing.
+    """Configurations with fractional counts that use every length as often as it occurs: multiplicative weights, knapsack pricing.
 
-    Weight ``exp(-covered share)``; a round adds its configuration until the
-    scarcest of its lengths is covered by a further ``step``.
+    Weight ``exp(-covered share)``. A round deals the lengths not yet covered to
+    groups of some 128, long and short ones to each, and adds the best
+    configuration of every group until the scarcest of its lengths is covered by
+    a further ``step``, or at all. After ``rounds`` rounds a configuration covers
+    its scarcest length at once, so that the last lengths take few rounds.
     """
-    need = np.array([counts.get(n, 0) for n in range(1, capacity + 1)], dtype=float)
-    has = need > 0
-    covered, found = np.zeros(capacity), {}
-    for _ in range(rounds if has.any() else 0):
-        weight = np.where(has, np.exp(-(covered - covered[has].min()) * 4), 0)
-        # Under equal weights a length is worth its tokens, so that full sequences win.
-        config = price(weight * np.arange(1, capacity + 1), capacity)
-        if not config:
-            break
-        lengths = np.array(list(config)) - 1
-        used = np.array(list(config.values()), dtype=float)
-        amount = float((need[lengths] / used).min()) * step
-        covered[lengths] += amount * used / need[lengths]
-        key = tuple(sorted(config.items()))
-        found[key] = found.get(key, 0.0) + amount
-        if covered[has].min() >= 1:
-            break
+    sizes = np.array(sorted(n for n, c in counts.items() if c > 0), dtype=np.int64)
+    need = np.array([counts[n] for n in sizes.tolist()], dtype=float)
+    place = {n: i for i, n in enumerate(sizes.tolist())}
+    left, found, rng, turn = need.copy(), {}, np.random.default_rng(0), 0
+    while (left > 0).any():
+        open_ = np.flatnonzero(left > 0)
+        groups = -(-len(open_) // GROUP)
+        dealt = np.full(-(-len(open_) // groups) * groups, -1)
+        dealt[:len(open_)] = open_
+        dealt = rng.permuted(dealt.reshape(-1, groups), axis=1).T
+        covered = 1 - left / need
+        # Under equal weights a length is worth its tokens, so that full sequences win; long ones, which fewer configurations hold, a little more.
+        worth = np.exp(-(covered - covered[open_].min()) * 4) * sizes * (1 + LONG * sizes / capacity)
+        for config in price(np.where(dealt < 0, capacity, sizes[dealt]), np.where(dealt < 0, -np.inf, worth[dealt]), capacity):
+            at = np.array([place[n] for n in config])
+            used = np.array(list(config.values()), dtype=float)
+            most = float((left[at] / used).min())
+            amount = most if turn >= rounds else min(most, max(1.0, float((need[at] / used).min()) * step))
+            left[at] -= amount * used
+            left[at[left[at] < 1e-9 * need[at]]] = 0
+            key = tuple(sorted(config.items()))
+            found[key] = found.get(key, 0.0) + amount
+        turn += 1
     return [(dict(k), v) for k, v in found.items()]
 
 
+def rounded(solved: list[tuple[dict[int, int], float]], counts: dict[int, int]) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """Whole counts of a fractional solution, what one configuration loses going to the next, and how often each length is then left."""
+    left, whole, due = dict(counts), [], 0.0
+    for config, amount in solved:
+        due += amount
+        times = max(0, min(int(due + 1e-9), *(left[k] // v for k, v in config.items())))
+        due = min(due - times, 1.0)
+        if times > 0:
+            whole.append((config, times))
+            for k, v in config.items():
+                left[k] -= v * times
+    return whole, {k: v for k, v in left.items() if v > 0}
+
+
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Best fit, largest first, on counts: equal sequences are one entry, so time depends on the lengths, not on the rows."""
     open_: dict[int, list[tuple[dict[int, int], int]]] = {}
@@ -148,22 +183,18 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
 def plan(counts: dict[int, int], capacity: int, rounds: int = 400) -> list[tuple[dict[int, int], int]]:
     """Configurations with whole counts that use every length exactly as often as it occurs.
 
-    The fractional solution is rounded down after scaling; of a few scales the one with fewest sequences is taken.
+    They come from the fractional solution, fullest first; only what its rounding leaves is placed best-fit.
     """
     counts = {k: v for k, v in counts.items() if v > 0}
     solved = sorted(solve(counts, capacity, rounds), key=lambda x: -sum(k * v for k, v in x[0].items()))
 
-    def rounded(scale: float) -> list[tuple[dict[int, int], int]]:
-        left, whole = dict(counts), []
-        for config, amount in solved:
-            times = min(int(amount * scale), *(left[k] // v for k, v in config.items()))
-            if times > 0:
-                whole.append((config, times))
-                for k, v in config.items():
-                    left[k] -= v * times
-        return whole + best_fit({k: v for k, v in left.items() if v > 0}, capacity)
-
-    return min((rounded(s) for s in (1.0, 0.75, 0.5, 0.25)), key=lambda entries: sum(times for _, times in entries))
+    covered = dict.fromkeys(counts, 0.0)
+    for config, amount in solved:
+        for k, v in config.items():
+            covered[k] += amount * v
+    assert all(covered[k] >= n * (1 - 1e-6) for k, n in counts.items()), "a length is not covered by the program"
+    whole, left = rounded(solved, counts)
+    return whole + best_fit(left, capacity)
 
 
 def _places(entries: list[tuple[dict[int, int], int]]):

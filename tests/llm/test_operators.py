@@ -266,6 +266,23 @@ def test_plan_uses_every_length():
     assert used(entries) <= used(packing.best_fit(dict(counts), 100)) * 1.01
 
 
+def test_program_covers_every_length_of_a_wide_histogram():
+    """With some thousand lengths, best fit gets no more than what rounding leaves."""
+    rng = np.random.default_rng(4)
+    lengths = np.minimum(rng.lognormal(5.5, 0.9, 300_000).astype(int) + 2, 1024)
+    counts = Counter(lengths.tolist())
+    assert len(counts) > 900
+    solved = packing.solve(dict(counts), 1024, rounds=40)
+    covered = Counter()
+    for config, amount in solved:
+        assert sum(k * v for k, v in config.items()) <= 1024
+        for k, v in config.items():
+            covered[k] += amount * v
+    assert min(covered[k] / n for k, n in counts.items()) > 1 - 1e-6
+    left = packing.rounded(sorted(solved, key=lambda x: -sum(k * v for k, v in x[0].items())), dict(counts))[1]
+    assert sum(k * n for k, n in left.items()) < 0.1 * lengths.sum()
+
+
 # op4
 
 
