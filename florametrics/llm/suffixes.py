@@ -34,6 +34,8 @@ from florametrics.llm.words import may_hold, mix
 GRAM = 24
 FILTER_BITS = 27
 _BASE = 0x9E3779B97F4A7C15
+#: Another base than that of the anchors' hashes, so that regions of one anchor clash no more than others.
+_REGION = 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
 
 
@@ -81,17 +83,16 @@ def anchors(data: np.ndarray, span: int, gram: int = GRAM) -> tuple[np.ndarray,
 @lru_cache(maxsize=1)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     n = 1 << bits
-    up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(_BASE))]), dtype=np.uint64)
-    down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(pow(_BASE, -1, 1 << 64)))]), dtype=np.uint64)
+    up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(_REGION))]), dtype=np.uint64)
+    down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(pow(_REGION, -1, 1 << 64)))]), dtype=np.uint64)
     return up, down
 
 
 def _region_hash(data: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """32-bit hash of each region's bytes, length and the anchor's place in it."""
+    """64-bit hash of each region's bytes, length and the anchor's place in it."""
     up, down = _powers(max(16, int(len(data)).bit_length()))
     sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], dtype=np.uint64)])
-    h = mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64) * np.uint64(131) + left.astype(np.uint64))
-    return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64) * np.uint64(131) + left.astype(np.uint64)).view(np.int64)
 
 
 def _anchor_task(span: int, table: np.ndarray | None = None):
@@ -280,7 +281,7 @@ def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 4000, collecti
     ship_modules()
     rows = texts(docs)
     twice = saved(rows.mapInPandas(_anchor_task(span), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
-    spots = saved(rows.mapInPandas(_anchor_task(span, bit_table(twice.toDF("id"), FILTER_BITS)), "h long, r int, doc_id long, at int").join(twice, "h"), "spots")
+    spots = saved(rows.mapInPandas(_anchor_task(span, bit_table(twice.toDF("id"), FILTER_BITS)), "h long, r long, doc_id long, at int").join(twice, "h"), "spots")
     firsts = saved(spots.groupBy("h", "r").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")), "regions")
     reach = span - GRAM
     # Later occurrences of a region: all of it is repeated. The text's end, where the region may be shorter, is cut off when ranges meet the text.

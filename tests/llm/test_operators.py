@@ -82,6 +82,15 @@ def test_repeated_bytes_odd(documents, odd):
     assert suffixes.remove_repeats(documents([])).count() == 0
 
 
+def test_regions_of_a_hot_anchor_do_not_clash():
+    """As many regions as an anchor at the edge of a shared passage may have: a clash would remove bytes that are no repeat."""
+    n, size = 300_000, 176
+    data = np.random.default_rng(7).integers(0, 256, n * size).astype(np.uint8)
+    low = np.arange(n) * size
+    got = suffixes._region_hash(data, low, low + size, np.full(n, 76))
+    assert len(np.unique(got)) == n
+
+
 # op7
 
 
