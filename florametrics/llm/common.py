@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import sys
 from collections.abc import Callable
 
@@ -37,6 +38,11 @@ def texts(docs: DataFrame, *extra: str) -> DataFrame:
         *extra)
 
 
+def lowered(value: Column) -> Column:
+    """A-Z in lower case, all else as it is."""
+    return F.translate(value, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def fold(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

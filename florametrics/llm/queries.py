@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from florametrics.llm import brown, html, linedup, mtree, neardup, packing, quality, suffixes, tiling, toxicity
-from florametrics.llm.common import fold, labelled_sample, table, texts
+from florametrics.llm import (
+    brown, hosttrust, html, lexical, linedup, merkle, mtree, neardup, packing, quality, suffixes, tiling, toxicity,
+)
+from florametrics.llm.common import fold, labelled_sample, lowered, table, texts
+from florametrics.llm.oracles import HOSTS, MERKLE, SEARCH, URL_RULES
 from florametrics.llm.registry import query
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,3 +86,19 @@ def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_repeated_bytes")
 def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_merkle_manifest", MERKLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, lowered(F.col("text")))
+
+
+@query("op12_lexical_search", SEARCH)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_url_filters", HOSTS)
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosttrust.verdicts(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
