@@ -50,7 +50,7 @@ steps AS (
   FROM ways w JOIN nodes o ON o.part = w.part AND o.level = w.level AND o.g = w.g AND o.pos // 8 = w.pos // 8 GROUP BY w.k, w.part, w.level, w.pos),
 proofs AS (SELECT k, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY k),
 folds(k, step, d) AS (
-  SELECT k, 0, CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END FROM doc UNION ALL
+  SELECT k, 0, CASE WHEN doc_id IS NOT NULL AND crc % 3 = 0 THEN lowered ELSE leaf END FROM doc UNION ALL
   SELECT f.k, f.step + 1, sha256(s.before || f.d || s.after) FROM folds f JOIN steps s ON s.k = f.k AND s.step = f.step + 1),
 folded AS (SELECT k, arg_max(d, step) AS d FROM folds GROUP BY k)
 SELECT l.doc_id, l.leaf, s.d AS subroot, r.d AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.d AS folded_root, f.d = r.d AS verified
