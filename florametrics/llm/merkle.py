@@ -202,9 +202,10 @@ def manifest(docs: DataFrame, tampered: Column, tamper: Column) -> DataFrame:
     """
     ship_modules()
     own = {c: F.col(c) for c in COLUMNS}
-    rows = docs.select(
+    # Written first: finding the ranges reads the rows once more, and should not hash texts again.
+    rows = saved(docs.select(
         F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")).alias("grp"), F.col("doc_id").cast("long").alias("doc_id"),
-        leaf_hash(**own).alias("leaf"), F.when(tampered, leaf_hash(**own | {"text": tamper})).alias("claim"))
+        leaf_hash(**own).alias("leaf"), F.when(tampered, leaf_hash(**own | {"text": tamper})).alias("claim")), "leaves")
     placed = place(rows, ["doc_id", "leaf"])
     groups = build(placed)
     out = "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
