@@ -1,10 +1,11 @@
 """Group aggregates.
 
 Everything here is a combination of hash aggregates, which combine on the map
-side. Quantiles and Nx select a position in the sorted values; they count per
-(group, value), locate the position in a coarse table of value buckets and look
-at single values only inside the bucket that holds it, so no task ever sorts a
-whole group.
+side. Quantiles and Nx select a position in the sorted values. They count per
+(group, value), cut these counts into ranges of bounded size whatever the values
+(see ``ranges``), add up per range, and look at single values only inside the
+ranges that hold a wanted position; no task ever sorts a whole group. All of a
+group's statistics come out of this one pass.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florametrics.functions import col_of, na_guard, order_bucket, signif
-from florametrics.operators.joins import join_back, left_join_ns
+from florametrics.functions import col_of, na_guard, signif
+from florametrics.operators.joins import KEY, join_back, keyed, unkeyed
+from florametrics.operators.ranges import RANGE, RANGE_ROWS, with_range
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def count_by(df: DataFrame, keys, name: str = "n", wt=None) -> DataFrame:
@@ -81,117 +85,128 @@ def margin_sums(counts: DataFrame, axis: str, value: str = "numseqs", out: str =
     return sum_by(counts, [axis], value, out)
 
 
-def _value_counts(df: DataFrame, keys, col) -> DataFrame:
-    """Rows per (group, value); the count of missing values is negative.
+def _dealt_values(df: DataFrame, keys, col, range_rows: int) -> DataFrame:
+    """Rows per (KEY, value ``__v``), ``__n`` with missing values and ``__p`` without, dealt out by ranges of (KEY, value).
 
-    The sign, not a NULL test, sets missing values apart later: such a test would
-    be pushed below the aggregate and keep statistics from sharing its shuffle.
+    The exchange is explicit so that all that follows, sums per range, the joins
+    that come back to single values and the order inside a range, shares it.
     """
-    counted = df.select(*keys, col_of(col).alias("__v")).groupBy(*keys, "__v")
-    return counted.agg(F.sum(F.when(F.col("__v").isNull(), -1).otherwise(1)).alias("__n"))
+    counted = keyed(df.withColumn("__v", col_of(col)), keys).groupBy(KEY, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    counted = counted.withColumn("__p", F.when(F.col("__v").isNotNull(), F.col("__n")).otherwise(0))
+    return with_range(counted, F.struct(KEY, "__v"), range_rows).repartition(KEY, RANGE)
+
+
+def _key_stats(dealt: DataFrame, probs: dict[str, float], nx: dict[str, float], sums: bool = False) -> DataFrame:
+    """One row per KEY: quantiles ``probs``, lengths ``nx``, rows ``__rows``, values ``__count`` and, with ``sums``, ``__sum`` and ``__max``."""
+    sums = sums or bool(nx)
+    values = dealt.withColumn("__w", F.col("__v") * F.col("__n")) if sums else dealt
+    per = values.groupBy(KEY, RANGE).agg(
+        F.sum("__p").alias("__rp"), F.sum("__n").alias("__rn"),
+        *([F.sum("__w").alias("__rw"), F.max("__v").alias("__top")] if sums else []))
+    whole = Window.partitionBy(KEY)
+    upto = whole.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = whole.orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = {"__rows": F.sum("__rn").over(whole), "__count": F.sum("__rp").over(whole), "__last": F.max(RANGE).over(whole)}
+    if sums:
+        every |= {"__sum": F.sum("__rw").over(whole), "__max": F.max("__top").over(whole), "__before": F.sum("__rw").over(down)}
+    per = per.withColumns({"__end": F.sum("__rp").over(upto), **every}).withColumn("__start", F.col("__end") - F.col("__rp"))
+    # The range in which the longest pieces first make up the share.
+    crossing = {f"__x_{name}": F.max(F.when(F.col("__before") >= F.col("__sum") * F.lit(x), F.col(RANGE))).over(whole) for name, x in nx.items()}
+    if nx:
+        per = per.withColumns(crossing).withColumn("__before", F.col("__before") - F.col("__rw"))
+    # Zero-based positions wanted: the two neighbours of (n - 1) * p.
+    spots = {name: (F.col("__count") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    # The last range stands for its group, which is reported whatever it holds.
+    wanted = F.col(RANGE) == F.col("__last")
+    for position in [f(s) for s in spots.values() for f in (F.floor, F.ceil)]:
+        wanted = wanted | ((position >= F.col("__start")) & (position < F.col("__end")))
+    for name in crossing:
+        wanted = wanted | F.coalesce(F.col(RANGE) == F.col(name), F.lit(False))
+    constant = ["__rows", "__count", *(["__sum", "__max"] if sums else [])]
+    hit = per.filter(wanted).select(KEY, RANGE, "__start", *constant, *(["__before", *crossing] if nx else []))
+    order = Window.partitionBy(KEY, RANGE)
+    past = (Window.unboundedPreceding, Window.currentRow)
+    inside = values.join(hit, [KEY, RANGE]).withColumn("__hi", F.col("__start") + F.sum("__p").over(order.orderBy("__v").rowsBetween(*past)))
+    if nx:
+        inside = inside.withColumn("__reached", F.col("__before") + F.sum("__w").over(order.orderBy(F.desc("__v")).rowsBetween(*past)))
+    lo, hi = F.col("__hi") - F.col("__p"), F.col("__hi")
 
+    def at(position) -> Column:
+        return F.max(F.when((position >= lo) & (position < hi), F.col("__v").cast("double")))
 
-def _present(values: DataFrame) -> DataFrame:
-    return values.filter(F.col("__n") > 0).withColumn("__bucket", order_bucket("__v"))
+    found = inside.groupBy(KEY).agg(
+        *[F.max(c).alias(c) for c in constant],
+        *[F.max(F.when((F.col(RANGE) == F.col(f"__x_{n}")) & (F.col("__reached") >= F.col("__sum") * F.lit(x)), F.col("__v"))).alias(n)
+          for n, x in nx.items()],
+        *[e for n, s in spots.items() for e in (
+            at(F.floor(s)).alias(f"__lo_{n}"), at(F.ceil(s)).alias(f"__hi_{n}"), F.max(s - F.floor(s)).alias(f"__f_{n}"))])
+    between = {n: F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}") for n in probs}
+    return found.select(KEY, *constant, *nx, *[e.alias(n) for n, e in between.items()])
 
 
-def quantiles_by(df: DataFrame, keys, col, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``probs``."""
-    return _quantiles(_value_counts(df, keys, col), list(keys), probs)
+def quantiles_by(df: DataFrame, keys, col, probs: dict[str, float], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Exact quantiles with linear interpolation, one column per entry of ``probs``; groups without a value are left out."""
+    stats = _key_stats(_dealt_values(df, keys, col, range_rows), probs, {}).filter(F.col("__count") > 0)
+    return unkeyed(stats, keys).select(*keys, *probs)
 
 
-def _quantiles(values: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
-    values = _present(values)
-    upto = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    buckets = (
-        values.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__bn"))
-        .withColumns({"__end": F.sum("__bn").over(upto), "__total": F.sum("__bn").over(whole)})
-        .withColumn("__start", F.col("__end") - F.col("__bn"))
-    )
-    # Zero-based positions wanted: the two neighbours of (n - 1) * p.
-    spots = {name: (F.col("__total") - 1) * F.lit(float(p)) for name, p in probs.items()}
-    wanted = F.array_distinct(F.array(*[f for s in spots.values() for f in (F.floor(s), F.ceil(s))]))
-    hit = buckets.withColumn(
-        "__ranks", F.filter(wanted, lambda r: (r >= F.col("__start")) & (r < F.col("__end")))
-    ).filter(F.size("__ranks") > 0)
-    inside = left_join_ns(values, hit, keys + ["__bucket"], how="inner")
-    within = (
-        Window.partitionBy(*keys, "__bucket").orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = inside.withColumn("__cum", F.col("__start") + F.sum("__n").over(within))
-    lo, hi = F.col("__cum") - F.col("__n"), F.col("__cum")
+def nx_by(df: DataFrame, keys, length, x: float = 0.5, out: str = "n50", range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Length at which the longest pieces first make up the share ``x`` of the total; groups without a length are left out."""
+    stats = _key_stats(_dealt_values(df, keys, length, range_rows), {}, {out: x}).filter(F.col("__count") > 0)
+    return unkeyed(stats, keys).select(*keys, out)
 
-    def at(position) -> Column:
-        return F.max(F.when((position >= lo) & (position < hi), F.col("__v").cast("double")))
 
-    out = inside.groupBy(*keys).agg(
-        *[e for name, s in spots.items() for e in (
-            at(F.floor(s)).alias(f"__lo_{name}"), at(F.ceil(s)).alias(f"__hi_{name}"),
-            F.max(s - F.floor(s)).alias(f"__f_{name}"),
-        )]
-    )
-    return out.select(*keys, *[
-        (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")).alias(n) for n in probs
-    ])
+def describe_by(df: DataFrame, keys, col, n50: str | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Median, mean, max, n and sum per group; NULL where the group holds a missing value.
 
+    ``n50`` is of the values that are there.
+    """
+    return unkeyed(_described(df, keys, col, n50, range_rows), keys)
 
-def nx_by(df: DataFrame, keys, length, x: float = 0.5, out: str = "n50") -> DataFrame:
-    """Length at which the longest pieces first make up the share ``x`` of the total."""
-    return _nx(_value_counts(df, keys, length), list(keys), x, out)
 
+def _described(df: DataFrame, keys, col, n50: str | None, range_rows: int = RANGE_ROWS) -> DataFrame:
+    stats = _key_stats(_dealt_values(df, keys, col, range_rows), {"median": 0.5}, {n50: 0.5} if n50 else {}, sums=True)
+    whole = F.col("__count") == F.col("__rows")
+    return stats.select(
+        KEY, F.when(whole, F.col("__sum") / F.col("__rows")).alias("mean"), F.when(whole, F.col("__max")).alias("max"),
+        F.col("__rows").alias("n"), F.when(whole, F.col("__sum")).alias("total"), F.when(whole, F.col("median")).alias("median"),
+        *([n50] if n50 else []))
 
-def _nx(values: DataFrame, keys: list[str], x: float, out: str) -> DataFrame:
-    values = _present(values).withColumn("__w", F.col("__v") * F.col("__n"))
-    longest_first = (
-        Window.partitionBy(*keys).orderBy(F.col("__bucket").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    buckets = (
-        values.groupBy(*keys, "__bucket").agg(F.sum("__w").alias("__bw"))
-        .withColumns({"__cum": F.sum("__bw").over(longest_first),
-                      "__target": F.sum("__bw").over(Window.partitionBy(*keys)) * F.lit(x)})
-    )
-    crossing = buckets.filter(F.col("__cum") >= F.col("__target")).groupBy(*keys).agg(
-        F.max(F.struct("__bucket", (F.col("__cum") - F.col("__bw")).alias("__before"), "__target")).alias("__c")
-    ).select(*keys, "__c.*")
-    inside = left_join_ns(values, crossing, keys + ["__bucket"], how="inner")
-    within = (
-        Window.partitionBy(*keys, "__bucket").orderBy(F.col("__v").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    reached = F.col("__before") + F.sum("__w").over(within) >= F.col("__target")
-    return inside.withColumn("__ok", reached).filter("__ok").groupBy(*keys).agg(F.max("__v").alias(out))
 
+def box_stats(df: DataFrame, keys, col: str, log10: bool = False, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Box-plot summary: quartiles, whiskers inside 1.5 IQR, and how many values lie outside.
 
-def describe_by(df: DataFrame, keys, col, n50: str | None = None) -> DataFrame:
-    """Median, mean, max, n and sum per group; NULL where the group holds a missing value."""
+    Ranges that lie inside or outside the fences as a whole are counted as they
+    are; single values are looked at where a fence falls into a range.
+    """
     keys = list(keys)
-    values = _value_counts(df, keys, col)
-    weighted = F.sum(F.col("__v") * F.col("__n"))
-    whole = F.min("__n") > 0
-    base = values.groupBy(*keys).agg(
-        F.when(whole, weighted / F.sum("__n")).alias("mean"), F.when(whole, F.max("__v")).alias("max"),
-        F.sum(F.abs("__n")).alias("n"), F.when(whole, weighted).alias("total"), whole.alias("__whole"),
-    )
-    out = join_back(base, _quantiles(values, keys, {"median": 0.5}), keys)
-    out = out.withColumn("median", F.when(F.col("__whole"), F.col("median")))
-    if n50:
-        out = join_back(out, _nx(values, keys, 0.5, n50), keys)
-    return out.drop("__whole")
+    dealt = _dealt_values(_box_input(df, col, log10), keys, "__x", range_rows)
+    fences = _fences(_key_stats(dealt, QUARTILES, {})).select(KEY, *QUARTILES, "__lo", "__hi")
+    per = dealt.groupBy(KEY, RANGE).agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"), F.sum("__n").alias("__n")).join(fences, KEY)
+    inside = (F.col("__low") >= F.col("__lo")) & (F.col("__high") <= F.col("__hi"))
+    outside = (F.col("__high") < F.col("__lo")) | (F.col("__low") > F.col("__hi"))
+    cut = per.filter(~inside & ~outside).select(KEY, RANGE, *QUARTILES, "__lo", "__hi")
+    rows = ["__low", "__high", "__n", KEY, *QUARTILES, "__lo", "__hi"]
+    pieces = per.filter(inside | outside).select(*rows).unionByName(
+        dealt.withColumns({"__low": F.col("__v"), "__high": F.col("__v")}).join(cut, [KEY, RANGE]).select(*rows))
+    stats = pieces.groupBy(KEY).agg(
+        *[F.max(q).alias(q) for q in QUARTILES],
+        F.min(F.when(inside, F.col("__low"))).alias("lower"), F.max(F.when(inside, F.col("__high"))).alias("upper"),
+        F.sum(F.when(inside, 0).otherwise(F.col("__n"))).alias("n_outliers"), F.sum("__n").alias("n"))
+    return unkeyed(stats, keys)
+
+
+def _box_input(df: DataFrame, col: str, log10: bool) -> DataFrame:
+    """Rows with their value ``__x``; on a log scale only positive values remain."""
+    data = df.filter(F.col(col).isNotNull())
+    if log10:
+        data = data.filter(F.col(col) > 0)
+    return data.withColumn("__x", F.log10(col) if log10 else F.col(col).cast("double"))
 
 
-def box_stats(df: DataFrame, keys, col: str, log10: bool = False) -> DataFrame:
-    """Box-plot summary: quartiles, whiskers inside 1.5 IQR, and how many values lie outside."""
-    keys = list(keys)
-    data = box_values(df, keys, col, log10)
-    inside = (F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi"))
-    return data.groupBy(*keys).agg(
-        F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
-        F.min(F.when(inside, F.col("__x"))).alias("lower"), F.max(F.when(inside, F.col("__x"))).alias("upper"),
-        F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n"),
-    )
+def _fences(quartiles: DataFrame) -> DataFrame:
+    reach = (F.col("q3") - F.col("q1")) * 1.5
+    return quartiles.withColumns({"__lo": F.col("q1") - reach, "__hi": F.col("q3") + reach})
 
 
 def box_outliers(df: DataFrame, keys, col: str, log10: bool = False) -> DataFrame:
@@ -203,13 +218,8 @@ def box_outliers(df: DataFrame, keys, col: str, log10: bool = False) -> DataFram
 
 def box_values(df: DataFrame, keys, col: str, log10: bool = False) -> DataFrame:
     """Rows with their group's quartiles and fences; on a log scale only positive values remain."""
-    data = df.filter(F.col(col).isNotNull())
-    if log10:
-        data = data.filter(F.col(col) > 0)
-    data = data.withColumn("__x", F.log10(col) if log10 else F.col(col).cast("double"))
-    q = quantiles_by(data, keys, "__x", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    return join_back(data, q, keys).withColumns({"__lo": F.col("q1") - reach, "__hi": F.col("q3") + reach})
+    data = _box_input(df, col, log10)
+    return join_back(data, _fences(quantiles_by(data, keys, "__x", QUARTILES)), keys)
 
 
 def log_histogram(df: DataFrame, keys, col: str, bins: int = 120, range_by=()) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from florametrics.functions import blank_to_null, if_else_na, lenient_date, matches, padded_id, sub
 from florametrics.operators.aggregates import distinct_rows
 from florametrics.operators.columns import correct, rename
-from florametrics.operators.joins import full_join_ns
-from florametrics.operators.ordered import fill_down, na_last
+from florametrics.operators.joins import full_join_all
+from florametrics.operators.ordered import fill_down, fill_down_levels, na_last
 from florametrics.operators.ranking import top_n
 from florametrics.operators.reshape import separate
 from florametrics.operators.setops import union_distinct, union_fill
@@ -96,8 +96,7 @@ def filled_cohorts(*cohorts: DataFrame, across: bool = False) -> DataFrame:
     if across:
         filled = fill_down(rows, ["studyid", "mrn", "date_transplant"], [FILE_ORDER], by=["db"])
     else:
-        subjects = fill_down(rows, ["studyid"], [FILE_ORDER], by=["db"])
-        filled = fill_down(subjects, ["mrn", "date_transplant"], [FILE_ORDER], by=["db", "studyid"])
+        filled = fill_down_levels(rows, [(["studyid"], ["db"]), (["mrn", "date_transplant"], ["db", "studyid"])], [FILE_ORDER])
     return filled.filter("__kept").drop("__kept", FILE_ORDER)
 
 
@@ -114,8 +113,7 @@ def harmonise_clinical(lt_samples: DataFrame, lt_events: DataFrame, micu: DataFr
     ``across=True`` lets record numbers run on into the next subject, as an
     ungrouped fill does; the default keeps them inside the subject.
     """
-    lt = full_join_ns(transplant_samples(lt_samples, across), transplant_events(lt_events, across),
-                      ["studyid", "mrn", "db"])
+    lt = full_join_all([transplant_samples(lt_samples, across), transplant_events(lt_events, across)], ["studyid", "mrn", "db"])
     cohorts = [intensive_care(micu), heart_transplant(ht), liver_disease(ld)]
     total = union_fill(lt, filled_cohorts(*cohorts, across=across))
     return sample_key(total.withColumn("sampleid", sub("sampleid", " ", "")), "sampleid")
@@ -147,7 +145,6 @@ def metabolite_lookup(*tables: DataFrame) -> DataFrame:
 
 def cross_lookup(clinical: DataFrame, shotgun: DataFrame, amplicon: DataFrame, *metabolites: DataFrame) -> DataFrame:
     """One table that names a subject's samples in every kind of data."""
-    with_shotgun = rename(full_join_ns(clinical, shotgun, "ID"), {"seq_id": "shotgunSeq_id"})
-    genomics = full_join_ns(amplicon_lookup(amplicon), with_shotgun, "ID")
-    out = full_join_ns(genomics, metabolite_lookup(*metabolites), "ID")
+    out = full_join_all(
+        [amplicon_lookup(amplicon), clinical, rename(shotgun, {"seq_id": "shotgunSeq_id"}), metabolite_lookup(*metabolites)], ["ID"])
     return out.withColumn("sampletype", F.lower("sampletype"))

@@ -192,7 +192,9 @@ def test_plans_stay_in_the_jvm(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     assert "Python" not in plan and "Pandas" not in plan
     assert "CartesianProduct" not in plan
-    assert "Exchange SinglePartition, ENSURE_REQUIREMENTS" not in plan or name == "gene_types"
+    # One task gets no rows: only the sample that cuts the ranges, two millionths of them.
+    alone = [below for line, below in zip(plan.split("\n"), plan.split("\n")[1:]) if "Exchange SinglePartition, ENSURE_REQUIREMENTS" in line]
+    assert all("partial_collect_set(__at" in below for below in alone) or name == "gene_types"
 
 
 def test_flagship_reads_only_its_columns(spark):
