@@ -31,15 +31,16 @@ def with_range(df: DataFrame, key: Column, rows: int = RANGE_ROWS, out: str = RA
     """``df`` with ``out``, the number of its range of the order by ``key`` (a struct; missing values first), from 0."""
     at = df.withColumn("__at", key)
     picked = at.select("__at").filter(unit_hash("__at") < min(1.0, PICKS / rows)).agg(F.array_sort(F.collect_set("__at")).alias("picks"))
-    n = F.size("picks")
-    ranges = F.least(F.lit(MAX_RANGES), F.ceil(n / F.lit(PICKS))).cast("int")
-    cuts = picked.select(F.when(ranges > 1, F.transform(
-        F.sequence(F.lit(1), F.greatest(ranges - 1, F.lit(1))), lambda i: F.get("picks", F.floor(i * n / ranges).cast("int")))).alias("cuts"))
-    found = at.withColumns({"__cuts": cuts.scalar(), out: F.lit(0)})
-    for step in STEPS:
-        reached = F.lit(0)
-        for k in (1, 2, 3):
-            reached = F.when(F.get("__cuts", F.col(out) + F.lit(k * step - 1)) <= F.col("__at"), k * step).otherwise(reached)
-        found = found.withColumn(out, F.col(out) + reached)
+    ranges = f"least({MAX_RANGES}, CAST(ceil(size(picks) / {PICKS}) AS INT))"
+    cuts = picked.selectExpr(
+        f"CASE WHEN {ranges} > 1 THEN transform(sequence(1, greatest({ranges} - 1, 1)), "
+        f"i -> get(picks, CAST(floor(i * size(picks) / {ranges}) AS INT))) END AS cuts"
+    ).scalar().alias("__cuts")
+    # Each step builds on the alias before it in the same projection: one pass of analysis for all of them.
+    search, place = [F.lit(0).alias("__at0")], "__at0"
+    for i, step in enumerate(STEPS, 1):
+        cases = " ".join(f"WHEN get(__cuts, {place} + {k * step - 1}) <= __at THEN {k * step}" for k in (3, 2, 1))
+        search.append(F.expr(f"{place} + CASE {cases} ELSE 0 END AS __at{i}"))
+        place = f"__at{i}"
     # As a generated column the number is opaque to the optimizer, which would else write the whole search into every join on it.
-    return found.select(*df.columns, F.explode(F.array(out)).alias(out))
+    return at.select("*", cuts, *search).select(*[f"`{c}`" for c in df.columns], F.expr(f"explode(array({place}))").alias(out))
