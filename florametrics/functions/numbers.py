@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from florametrics.functions.nulls import col_of
 
-__all__ = ["lenient_number", "lenient_date", "ratio", "signif", "order_bucket", "unit_hash"]
+__all__ = ["lenient_number", "lenient_date", "ratio", "signif", "order_bucket", "unit_hash", "digest", "unit_digest", "DIGEST_BITS"]
 
 
 def lenient_number(c, dtype: str = "double") -> Column:
@@ -45,3 +45,21 @@ def unit_hash(*cols, seed: int = 0) -> Column:
     """Uniform number in (0, 1) fixed by the values and the seed, not by row position."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[col_of(c) for c in cols]), 11)
     return (bits.cast("double") + 0.5) / F.lit(float(2**53))
+
+
+#: Thirteen hexadecimal digits: every value is exact as a double.
+DIGEST_BITS = 52
+
+
+def digest(*cols, seed: int = 0) -> Column:
+    """Whole number below ``2 ** DIGEST_BITS`` from the md5 of the seed and the values' text, the same in any engine.
+
+    The text is the seed, then for each value ``|=`` and the value, or ``|-`` for a missing one.
+    """
+    parts = [F.coalesce(F.concat(F.lit("|="), col_of(c).cast("string")), F.lit("|-")) for c in cols]
+    return F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), *parts)), 1, DIGEST_BITS // 4), 16, 10).cast("long")
+
+
+def unit_digest(*cols, seed: int = 0) -> Column:
+    """``digest`` as a number in (0, 1)."""
+    return (digest(*cols, seed=seed).cast("double") + 0.5) / F.lit(float(2 ** DIGEST_BITS))

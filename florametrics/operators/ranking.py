@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florametrics.functions import col_of, unit_hash
+from florametrics.functions import col_of, unit_digest
 from florametrics.operators.joins import semi_ns
 from florametrics.operators.ordered import running_sum
 
@@ -59,8 +59,8 @@ def weighted_pick(df: DataFrame, keys, wt: str, seed: int = 0, mode: str = "rand
     """One row per group with probability proportional to its weight.
 
     Each distinct row draws ``ln(u) / weight`` and the largest wins; equal rows
-    are counted first and draw once with their joint weight. ``u`` depends on
-    the row and the seed only, so reruns and retries pick the same row.
+    are counted first and draw once with their joint weight. ``u`` is a digest of
+    the seed and the row's text, so reruns, retries and other engines pick the same row.
     ``mode="deterministic"`` takes the largest weight, then the smallest ``name``.
     """
     keys, cols = list(keys), df.columns
@@ -71,7 +71,7 @@ def weighted_pick(df: DataFrame, keys, wt: str, seed: int = 0, mode: str = "rand
         lead = [(-heavy).alias("w"), F.col(name or wt).alias("n")]
         pick = F.min(F.struct(F.isnull(heavy).alias("z"), *lead, row.alias("row")))
     else:
-        draw = F.ln(unit_hash(*cols, seed=seed)) / (F.col(wt).cast("double") * F.col("__copies"))
+        draw = F.ln(unit_digest(*cols, seed=seed)) / (F.col(wt).cast("double") * F.col("__copies"))
         pick = F.max(F.struct(draw.alias("w"), row.alias("row")))
         distinct = distinct.filter(F.col(wt) > 0)
     return distinct.groupBy(*keys).agg(pick.getField("row").alias("__row")).select("__row.*")
@@ -96,7 +96,7 @@ def best_weighted(df: DataFrame, keys, criteria, subject: str, wt: str = "swt",
     if mode == "deterministic":
         draw = F.col(wt).cast("double")
     else:
-        draw = F.ln(unit_hash(*keys, subject, seed=seed)) / (F.col(wt).cast("double") * F.col(wt))
+        draw = F.ln(unit_digest(*keys, subject, seed=seed)) / (F.col(wt).cast("double") * F.col(wt))
     # min() with negated numbers: NULL criteria lose, equal draws go to the smaller name.
     order = [e for i in range(len(criteria)) for e in (
         F.col(f"__score.k{i}").isNull().alias(f"m{i}"), (-F.col(f"__score.k{i}")).alias(lead[i]))]

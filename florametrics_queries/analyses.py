@@ -15,7 +15,7 @@ from florametrics.sources.readers import FILE_ORDER
 from florametrics_queries.bindings import (
     CONTIGS, COUNTS, HITS, SAMPLES, STAGES, TAX, contigs, counts, hits, rounded, samples, stages, table, tax,
 )
-from florametrics_queries.registry import query
+from florametrics_queries.registry import query, unit_sql
 
 # ---- targeted genes -------------------------------------------------------------------------
 
@@ -50,9 +50,12 @@ def _(spark, sf):
     return best_hits(spark, sf).select("qseqid", "sseqid", "pident", "bitscore", "evalue", "slen", "swt")
 
 
-@query("best_hit_random")
+@query("best_hit_random", f"""
+WITH {_BEST}, s AS (SELECT qseqid, sseqid, count(*) AS swt FROM r WHERE k = 1 GROUP BY ALL)
+SELECT qseqid, sseqid, swt FROM s
+QUALIFY row_number() OVER (PARTITION BY qseqid ORDER BY ln({unit_sql(11, "qseqid", "sseqid")}) / (swt * swt) DESC) = 1""")
 def _(spark, sf):
-    """The weighted random choice among tied subjects; checked by its frequencies in the tests."""
+    """The weighted random choice among tied subjects."""
     return TG.best_hit(hits(spark, sf), ["qseqid"], IDENT, ECUT, seed=11).select("qseqid", "sseqid", "swt")
 
 

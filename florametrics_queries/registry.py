@@ -32,3 +32,13 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return add
+
+
+def digest_sql(seed: int, *values: str) -> str:
+    """The library's portable digest of values that are not missing, in SQL."""
+    text = " || ".join(f"'|=' || CAST({v} AS VARCHAR)" for v in values)
+    return f"CAST('0x' || substr(md5('{seed}' || {text}), 1, 13) AS BIGINT)"
+
+
+def unit_sql(seed: int, *values: str) -> str:
+    return f"(({digest_sql(seed, *values)} + 0.5::DOUBLE) / 4503599627370496::DOUBLE)"

@@ -181,3 +181,14 @@ def test_full_join_of_many_frames(spark, rows):
     assert rows(J.full_join_all([frames[0], frames[1].limit(0)], ["k", "m"]), "x") == sorted((r[2],) for r in sides[0])
     renamed = J.full_join_ns(frames[0], frames[1].withColumnsRenamed({"k": "kk", "y": "x"}), [("k", "kk"), "m"])
     assert renamed.columns == ["k", "m", "x_x", "x_y"] and renamed.count() == J.full_join_all(frames[:2], ["k", "m"]).count()
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 5, 17, 1000, 99_999])
+def test_places_without_replacement_are_a_permutation(spark, total):
+    """Totals that are no rectangle included: every place once, and not in the draws' order."""
+    from florametrics.plans.diversity import _places
+    out = spark.range(total).select(F.col("id"), _places(False)("id", F.lit(total), F.lit(123_456_789)).alias("pos")).collect()
+    assert sorted(r.pos for r in out) == list(range(total))
+    if total >= 1000:
+        moved = sum(abs(r.pos - r.id) for r in out) / total / total
+        assert 0.25 < moved < 0.42  # a third for places that have nothing to do with the number
