@@ -66,7 +66,9 @@ def melt_abundance(counts: DataFrame, tax: DataFrame, samples: DataFrame | None
 
 def wide_counts(counts: DataFrame, taxa, sample: str = "sample", taxon: str = "taxon", value: str = "numseqs",
                 rest: str = "other") -> DataFrame:
-    """Sample×taxon matrix for export; counts of taxa outside ``taxa`` (and of none) are summed in ``rest``."""
+    """Sample×taxon matrix for export; counts of taxa outside ``taxa`` (and of none) are summed in ``rest``, which must not be one of them."""
     taxa = list(taxa)
+    if rest in taxa:
+        raise ValueError(f"{rest!r} is a taxon: name the column of all others differently")
     named = counts.withColumn(taxon, F.when(F.col(taxon).isin(taxa), F.col(taxon)).otherwise(rest))
     return named.groupBy(sample).pivot(taxon, list(dict.fromkeys([*taxa, rest]))).agg(F.sum(value)).fillna(0)

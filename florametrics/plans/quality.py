@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florametrics.functions import extract, lenient_number, matches, na_mean, ratio, sub
-from florametrics.operators.aggregates import count_by, first_by, margin_sums, quantiles_by
+from florametrics.functions import extract, lenient_number, matches, ratio, sub
+from florametrics.operators.aggregates import count_by, describe_by, first_by, margin_sums
 from florametrics.operators.columns import recode_levels, rename, where_matches
-from florametrics.operators.joins import join_back, left_join_ns
+from florametrics.operators.joins import left_join_ns
 from florametrics.operators.reshape import lengthen, widen
 from florametrics.sources.readers import FILE_ORDER
 
@@ -69,12 +69,10 @@ def run_summary(stats: DataFrame) -> DataFrame:
     pairs = where_matches(stats, "countType", "[finlraw] pair")
     wide = widen(pairs, ["seq_id"], "countType", "count", ["final pair", "raw pair"], how=F.max)
     wide = rename(wide, {"final pair": "final", "raw pair": "raw"})
-    means = wide.agg(*[na_mean(c).alias(f"{c}_mean") for c in ("final", "raw")],
-                     *[(F.count(c) == F.count(F.lit(1))).alias(f"__{c}") for c in ("final", "raw")])
-    for c in ("final", "raw"):
-        means = join_back(means, quantiles_by(wide, [], c, {f"{c}_median": 0.5}), [])
-        means = means.withColumn(f"{c}_median", F.when(F.col(f"__{c}"), F.col(f"{c}_median")))
-    return means.drop("__final", "__raw")
+    # Both stages are groups of one long table: one pass for means and medians, missing where a sample lacks the stage.
+    stats = describe_by(lengthen(wide, ["seq_id"], ["final", "raw"], "stage", "value", "double"), ["stage"], "value")
+    return stats.agg(*[
+        F.max(F.when(F.col("stage") == stage, F.col(of))).alias(f"{stage}_{of}") for of in ("mean", "median") for stage in ("final", "raw")])
 
 
 def library_order(c: str) -> Column:

@@ -123,11 +123,13 @@ def _headed(spark, paths, schema: str, sep: str = "\t", quote: str = "", ordered
     """Delimited files with a header, bound by column name.
 
     Files are grouped by their header line, of which there are as many as there
-    are layouts; each layout is one scan with its own column order. A column
-    that a file lacks is NULL, and one that the schema does not name is left out
-    unless ``extra``.
+    are layouts; each layout is one scan with its own column order. Names are
+    compared without case and surrounding blanks. A column that a file lacks is
+    NULL, and one that the schema does not name is left out unless ``extra``; a
+    header that names no column of the schema is an error, not a table of NULLs.
     """
     fields = T.StructType.fromDDL(schema)
+    known = {f.name.lower(): f.name for f in fields}
     scan = {k: v for k, v in opts.items() if k in ("recursive", "name_glob", "min_bytes")}
     lines = read_many(spark, paths, "text", ordered=True, **scan).where(F.col(f"{FILE_ORDER}.block") == 0)
     heads = lines.groupBy(F.col(f"{FILE_ORDER}.file").alias("file")).agg(F.min_by("value", FILE_ORDER).alias("head"))
@@ -135,6 +137,9 @@ def _headed(spark, paths, schema: str, sep: str = "\t", quote: str = "", ordered
     parts = []
     for head in layouts or [sep.join(fields.names)]:
         names = [n.strip().strip(quote or None) if quote else n.strip() for n in head.lstrip("\ufeff").split(sep)]
+        names = [known.get(n.lower(), n) for n in names]
+        if not set(names) & set(fields.names):
+            raise ValueError(f"the header {head!r} names none of the columns {fields.names}")
         # A repeated name keeps its first column.
         seen = [n if n not in names[:i] else f"__{i}" for i, n in enumerate(names)]
         text = T.StructType([T.StructField(n or f"__{i}", T.StringType()) for i, n in enumerate(seen)])

@@ -464,8 +464,9 @@ def _(spark, sf):
 @query("length_histogram", f"""
 WITH {CONTIGS}, l AS (SELECT 'Nanopore' AS "seqType", isolate, length FROM contigs UNION ALL SELECT 'Illumina', isolate, length + 1 FROM contigs),
 v AS (SELECT "seqType", isolate, CASE WHEN isolate IN (SELECT isolate FROM contigs WHERE depth = 50) THEN 'Good' ELSE 'Nah' END AS "goodAssembly", log10(length) AS x FROM l WHERE length > 0),
-s AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
-SELECT "seqType", isolate, "goodAssembly", CAST(least(floor((x - lo) / (hi - lo) * 120), 119) AS BIGINT) AS bin, count(*) AS n FROM v, s GROUP BY 1, 2, 3, 4""")
+s AS (SELECT isolate, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1)
+SELECT "seqType", isolate, "goodAssembly", CAST(coalesce(least(floor((x - lo) / nullif(hi - lo, 0) * 120), 119), 0) AS BIGINT) AS bin, count(*) AS n
+FROM v JOIN s USING (isolate) GROUP BY 1, 2, 3, 4""")
 def _(spark, sf):
     lengths = long_lengths(spark, sf)
     good = contigs(spark, sf).filter("depth = 50").select("isolate")

@@ -1,5 +1,7 @@
 """Headered files are bound by name, and odd cells never fail a job."""
 
+import pytest
+
 from florametrics.functions.numbers import lenient_date
 from florametrics.operators.reshape import wide_counts
 from florametrics.sources import readers as R
@@ -18,6 +20,15 @@ def test_layouts_by_name(spark, tmp_path, rows):
     assert rows(df, "Name", "Completeness", "Contamination", "isolate") == [("x", 99.0, 1.5, "a"), ("y", 80.0, None, "b")]
 
 
+def test_names_without_case_and_foreign_headers(spark, tmp_path, rows):
+    put(tmp_path / "run/a/quality_report.tsv", "name\t COMPLETENESS \nx\t99.0\n")
+    df = R.read_report(spark, f"{tmp_path}/run/*/quality_report.tsv", "genome_quality")
+    assert rows(df, "Name", "Completeness", "Contamination") == [("x", 99.0, None)]
+    put(tmp_path / "run/b/quality_report.tsv", "one\ttwo\n1\t2\n")
+    with pytest.raises(ValueError, match="names none"):
+        R.read_report(spark, f"{tmp_path}/run/*/quality_report.tsv", "genome_quality")
+
+
 def test_clinical_extra_column(spark, tmp_path, rows):
     put(tmp_path / "e.csv", 'record_id,event,"mrn",sample_id\n1,"first, visit",77,S1\n2,,,NA\n')
     df = R.read_clinical(spark, str(tmp_path), "e.csv", "record_id string, mrn string, sample_id string")
@@ -45,3 +56,10 @@ def test_fasta_round_trip(spark, tmp_path, rows):
 def test_wide_counts_keep_the_rest(spark, rows):
     df = spark.createDataFrame([("s", "a", 1), ("s", "zz", 9), ("s", None, 2)], "sample string, taxon string, numseqs long")
     assert rows(wide_counts(df, ["a"]), "sample", "a", "other") == [("s", 1, 11)]
+
+
+def test_wide_counts_refuse_a_taxon_named_like_the_rest(spark):
+    df = spark.createDataFrame([("s", "other", 2), ("s", "zz", 9)], "sample string, taxon string, numseqs long")
+    with pytest.raises(ValueError):
+        wide_counts(df, ["other"])
+    assert wide_counts(df, ["other"], rest="unlisted").first().asDict() == {"sample": "s", "other": 2, "unlisted": 9}
