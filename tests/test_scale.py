@@ -121,6 +121,18 @@ def test_unifrac_on_a_deep_tree(spark):
         assert got[a, b] == pytest.approx(size(x ^ y) / size(x | y))
 
 
+def test_branches_of_a_long_chain_and_of_a_cycle(spark):
+    counts = spark.createDataFrame([("s", "n1000", 1), ("t", "n3", 1)], "sample string, taxon string, numseqs int")
+    edges = [(f"n{i}", f"n{i - 1}", 1.0) for i in range(1, 1001)]
+    tree = spark.createDataFrame(edges, "child string, parent string, length double")
+    got = {r["sample"]: r.n for r in D.branches_of_samples(counts, tree).groupBy("sample").agg(F.count("*").alias("n")).collect()}
+    assert got == {"s": 1000, "t": 3}
+    ring = spark.createDataFrame([("n3", "a", 1.0), ("a", "b", 1.0), ("b", "c", 1.0), ("c", "a", 1.0)], tree.schema)
+    with pytest.raises(ValueError, match="cycle above"):
+        D.branches_of_samples(counts, ring)
+    assert D.branches_of_samples(counts, tree.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("n", [8, 120])
 def test_pcoa_equals_direct_solution(spark, n):
     rng = np.random.default_rng(3)
