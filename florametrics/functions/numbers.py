@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from florametrics.functions.nulls import col_of
 
-__all__ = ["lenient_number", "lenient_date", "ratio", "signif", "order_bucket", "unit_hash", "digest", "unit_digest", "DIGEST_BITS"]
+__all__ = ["lenient_number", "lenient_date", "ratio", "signif", "unit_hash", "digest", "unit_digest", "DIGEST_BITS"]
 
 
 def lenient_number(c, dtype: str = "double") -> Column:
@@ -31,16 +31,6 @@ def signif(c, digits: int = 4) -> Column:
     return F.format_string(f"%.{digits}g", col_of(c).cast("double")).cast("double")
 
 
-def order_bucket(c, per_octave: int = 1024) -> Column:
-    """Integer bucket that never decreases as ``c`` grows.
-
-    A fixed formula, so a retried task always gives a row the same bucket; the
-    logarithm keeps the number of buckets small whatever the range.
-    """
-    x = col_of(c).cast("double")
-    return (F.signum(x) * F.floor(F.log2(F.lit(1.0) + F.abs(x)) * per_octave)).cast("long")
-
-
 def unit_hash(*cols, seed: int = 0) -> Column:
     """Uniform number in (0, 1) fixed by the values and the seed, not by row position."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[col_of(c) for c in cols]), 11)
