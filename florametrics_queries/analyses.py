@@ -76,10 +76,11 @@ def _(spark, sf):
 WITH e AS (SELECT 'S' || doc_id || '_R1.' AS sample, lang AS query_name, CASE WHEN lang <> 'de' THEN regexp_replace(text, '\\s+', ',', 'g') END AS ko FROM documents WHERE source IS NOT NULL)
 SELECT regexp_replace(sample, '_R1\\.$', '') AS seq_id, query_name, unnest(coalesce(string_split(ko, ','), [NULL])) AS ko_id FROM e""")
 def _(spark, sf):
-    annotated = table(spark, sf, "documents").filter("source is not null").select(
+    annotated = table(spark, sf, "documents").select(
         F.concat(F.lit("S"), "doc_id", F.lit("_R1.")).alias("sample"), F.col("lang").alias("query_name"),
         F.when(F.col("lang") != "de", F.regexp_replace("text", r"\s+", ",")).alias("KEGG_ko"))
-    known = table(spark, sf, "documents").select(F.concat(F.lit("S"), "doc_id").alias("seq_id"))
+    # Samples without a source are not on the list of known ones.
+    known = table(spark, sf, "documents").selectExpr("concat(if(source is null, 'X', 'S'), doc_id) seq_id")
     return TG.expand_ko(annotated, known).select("seq_id", "query_name", "ko_id")
 
 
@@ -155,9 +156,9 @@ def _(spark, sf):
     return TX.taxon_counts(classified_reads(spark, sf), by_genome=True)
 
 
-_DUMP = """d AS (SELECT CAST(p_partkey AS INTEGER) AS tax_id, p_type AS kingdom, p_brand AS phylum, CASE WHEN p_size % 3 <> 0 THEN 'C' || p_size % 3 ELSE '' END AS class,
+_DUMP = """d AS (SELECT CAST(CASE WHEN p_partkey % 10 = 0 THEN -p_partkey ELSE p_partkey END AS INTEGER) AS tax_id, p_type AS kingdom, p_brand AS phylum, CASE WHEN p_size % 3 <> 0 THEN 'C' || p_size % 3 ELSE '' END AS class,
   'O' || p_size % 4 AS "order", 'F' || p_size % 5 AS family, CASE WHEN p_size % 7 <> 0 THEN split_part(p_name, ' ', 2) ELSE '' END AS genus,
-  p_name AS species FROM part WHERE p_partkey % 10 <> 0)"""
+  p_name AS species FROM part)"""
 
 
 @query("taxon_abundance", f"""
@@ -174,8 +175,8 @@ FROM u WINDOW w AS (PARTITION BY seq_id ORDER BY "Kingdom" NULLS LAST, "Phylum"
 def _(spark, sf):
     contig = table(spark, sf, "lineitem").selectExpr(
         "concat('S', l_suppkey) seq_id", "concat('x (taxid ', l_partkey, ')') taxon", "l_quantity length")
-    dump = table(spark, sf, "part").filter("p_partkey % 10 <> 0").selectExpr(
-        "cast(p_partkey as int) tax_id", "p_type kingdom", "p_brand phylum",
+    dump = table(spark, sf, "part").selectExpr(
+        "cast(if(p_partkey % 10 = 0, -p_partkey, p_partkey) as int) tax_id", "p_type kingdom", "p_brand phylum",
         "case when p_size % 3 <> 0 then concat('C', p_size % 3) else '' end class", "concat('O', p_size % 4) `order`",
         "concat('F', p_size % 5) family", "case when p_size % 7 <> 0 then split_part(p_name, ' ', 2) else '' end genus",
         "p_name species")
@@ -353,12 +354,12 @@ def _(spark, sf):
 _TYPED = f"""{CONTIGS}, ty AS (SELECT isolate, path, contig, length, depth, CASE WHEN path LIKE '%hybridAssemblyTrim%' THEN 'moretrimmed' WHEN path LIKE '%hybridAssembly%' THEN 'noTrim' ELSE 'flyeLong' END AS type,
   CASE WHEN circular LIKE '%true%' THEN 'Yes' ELSE 'No' END AS circ FROM contigs),
 typed AS (SELECT isolate, path, contig, length, depth, type, CASE WHEN type <> 'flyeLong' THEN circ END AS circular, 'No' AS guppy FROM ty)"""
-_FLYE = """flye AS (SELECT DISTINCT contig, isolate, 'flyeLong' AS type, 2 * max(length) AS length, CASE WHEN max(length) % 2 = 0 THEN 'Yes' ELSE 'No' END AS circular, 0.5 AS depth
-  FROM typed WHERE type = 'flyeLong' AND length % 10 <> 0 GROUP BY 1, 2)"""
-_POLISHED = """polished AS (SELECT contig, isolate, max(length) + 1 AS pilon_length, 'pilon/' || isolate AS pilon_path FROM typed WHERE length % 7 = 0 GROUP BY 1, 2)"""
-_GENOME = """cls AS (SELECT 'I' || c_custkey AS isolate, unnest(['flye', 'hybrid', 'hybridTrim', 'pilon']) AS user_genome, c_mktsegment AS classification, 'ref' || c_nationkey AS fastani_reference FROM customer WHERE c_custkey % 4 <> 0),
-genome AS (SELECT user_genome, isolate, CASE user_genome WHEN 'flye' THEN 'flyeLong' WHEN 'pilon' THEN 'flyeLong' WHEN 'hybrid' THEN 'noTrim' ELSE 'moretrimmed' END AS type, classification, fastani_reference FROM cls
-  WHERE user_genome <> 'pilon' OR length(isolate) % 2 = 0),
+_FLYE = """flye AS (SELECT DISTINCT CASE WHEN type = 'flyeLong' AND length % 10 <> 0 THEN contig ELSE 'old_' || contig END AS contig, isolate, 'flyeLong' AS type, 2 * max(length) AS length, CASE WHEN max(length) % 2 = 0 THEN 'Yes' ELSE 'No' END AS circular, 0.5 AS depth
+  FROM typed GROUP BY 1, 2)"""
+_POLISHED = """polished AS (SELECT CASE WHEN length % 7 = 0 THEN contig ELSE 'old_' || contig END AS contig, isolate, max(length) + 1 AS pilon_length, 'pilon/' || isolate AS pilon_path FROM typed GROUP BY 1, 2)"""
+_GENOME = """cls AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN 'J' ELSE 'I' END || c_custkey AS isolate, unnest(CASE WHEN length(CAST(c_custkey AS VARCHAR)) % 2 = 1 THEN ['flye', 'hybrid', 'hybridTrim', 'pilon'] ELSE ['flye', 'hybrid', 'hybridTrim'] END) AS user_genome,
+  c_mktsegment AS classification, 'ref' || c_nationkey AS fastani_reference FROM customer),
+genome AS (SELECT user_genome, isolate, CASE user_genome WHEN 'flye' THEN 'flyeLong' WHEN 'pilon' THEN 'flyeLong' WHEN 'hybrid' THEN 'noTrim' ELSE 'moretrimmed' END AS type, classification, fastani_reference FROM cls),
 quality AS (SELECT 'I' || c_custkey AS isolate, 'hybrid' AS name, 'noTrim' AS type, CAST(c_nationkey AS DOUBLE) AS completeness FROM customer)"""
 _MERGED = f"""{_TYPED}, {_FLYE}, {_POLISHED}, {_GENOME},
 u AS (SELECT isolate, path, contig, length, depth, type, circular, guppy FROM typed WHERE type <> 'flyeLong' UNION ALL
@@ -381,15 +382,17 @@ def typed_contigs(spark, sf):
 
 def merged_contigs(spark, sf):
     typed = typed_contigs(spark, sf)
-    flye = typed.filter("type = 'flyeLong' and length % 10 <> 0").groupBy("contig", "isolate").agg(F.max("length").alias("m"))
+    # Contigs the other tables don't know have another name there.
+    other_name = F.concat(F.lit("old_"), "contig").alias("contig")
+    flye = typed.groupBy(F.when(F.expr("type = 'flyeLong' and length % 10 <> 0"), F.col("contig")).otherwise(other_name).alias("contig"), "isolate").agg(F.max("length").alias("m"))
     flye = flye.selectExpr("contig", "isolate", "'flyeLong' type", "2 * m length", "case when m % 2 = 0 then 'Yes' else 'No' end circular", "0.5d depth")
-    polished = typed.filter("length % 7 = 0").groupBy("contig", "isolate").agg((F.max("length") + 1).alias("pilon_length"))
+    polished = typed.groupBy(F.when(F.expr("length % 7 = 0"), F.col("contig")).otherwise(other_name).alias("contig"), "isolate").agg((F.max("length") + 1).alias("pilon_length"))
     polished = polished.withColumn("pilon_path", F.concat(F.lit("pilon/"), "isolate"))
     customer = table(spark, sf, "customer")
-    classes = customer.filter("c_custkey % 4 <> 0").selectExpr(
-        "concat('I', c_custkey) isolate", "explode(array('flye', 'hybrid', 'hybridTrim', 'pilon')) user_genome",
-        "c_mktsegment classification", "concat('ref', c_nationkey) fastani_reference"
-    ).filter("user_genome <> 'pilon' or length(isolate) % 2 = 0")
+    classes = customer.selectExpr(
+        "concat(if(c_custkey % 4 = 0, 'J', 'I'), c_custkey) isolate",
+        "explode(if(length(c_custkey) % 2 = 1, array('flye', 'hybrid', 'hybridTrim', 'pilon'), array('flye', 'hybrid', 'hybridTrim'))) user_genome",
+        "c_mktsegment classification", "concat('ref', c_nationkey) fastani_reference")
     quality = customer.selectExpr(
         "concat('I', c_custkey) isolate", "'hybrid' Name", "cast(c_nationkey as double) Completeness", "0d Contamination",
         "0L Genome_Size", "0d GC_Content", "0L Total_Coding_Sequences")
@@ -598,13 +601,13 @@ def _(spark, sf):
 
 
 @query("cross_lookup", f"""
-WITH c AS (SELECT {_KEY["c_custkey"]} AS id, c_custkey, lower(c_mktsegment) AS sampletype FROM customer WHERE c_custkey > 5),
+WITH c AS (SELECT CASE WHEN c_custkey > 5 THEN {_KEY["c_custkey"]} ELSE 'LT-' || c_custkey END AS id, c_custkey, lower(c_mktsegment) AS sampletype FROM customer),
 g AS (SELECT 's' || s_suppkey AS g, {_KEY["s_suppkey"]} AS id FROM supplier), {_AMPLICON}, {_METABOLITES},
 j1 AS (SELECT coalesce(c.id, g.id) AS id, c_custkey, sampletype, g FROM c FULL JOIN g ON c.id = g.id),
 j2 AS (SELECT coalesce(a.id, j1.id) AS id, m, c_custkey, sampletype, g FROM a FULL JOIN j1 ON a.id = j1.id)
 SELECT coalesce(j2.id, b.id) AS "ID", m AS "MiSeq_id", c_custkey, sampletype, g AS "shotgunSeq_id", mid AS "metabolomicsID" FROM j2 FULL JOIN b ON j2.id = b.id""")
 def _(spark, sf):
-    clinical = table(spark, sf, "customer").filter("c_custkey > 5").selectExpr(
-        f"concat('UC-', {_padded('c_custkey')}, '.05') ID", "c_custkey", "c_mktsegment sampletype")
+    clinical = table(spark, sf, "customer").selectExpr(
+        f"if(c_custkey > 5, concat('UC-', {_padded('c_custkey')}, '.05'), concat('LT-', c_custkey)) ID", "c_custkey", "c_mktsegment sampletype")
     shotgun = table(spark, sf, "supplier").selectExpr("concat('s', s_suppkey) seq_id", f"concat('UC-', {_padded('s_suppkey')}, '.05') ID")
     return CL.cross_lookup(clinical, shotgun, _amplicon(spark, sf), *_metabolites(spark, sf))

@@ -223,11 +223,11 @@ def _(spark, sf):
     return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("overwrite_table", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
+@query("overwrite_table", "SELECT o_orderkey, o_orderstatus FROM orders")
 def _(spark, sf):
     path, o = scratch_path(spark, "replaced"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    S.overwrite_table(o.filter("o_orderstatus = 'F'"), path)
-    S.overwrite_table(o.filter("o_orderstatus = 'O'"), path)
+    S.overwrite_table(o.withColumn("o_orderstatus", F.lower("o_orderstatus")), path)
+    S.overwrite_table(o, path)
     return spark.read.parquet(path)
 
 
@@ -275,6 +275,7 @@ def _(spark, sf):
     path = scratch_path(spark, "sequences")
     part = table(spark, sf, "part").withColumn("h", F.concat(F.lit("TAG_"), "p_partkey", F.lit(" "), "p_brand"))
     S.write_fasta(part.select(F.col("h").alias("seq_name"), F.concat(F.upper(F.col("p_name").substr(1, 3)), F.lit("\n"), F.lower("p_brand")).alias("sequence")), f"{path}/ffn")
-    S.write_fasta(part.filter("p_size % 2 = 0").select(F.col("h").alias("seq_name"), F.col("p_type").alias("sequence")), f"{path}/faa")
+    protein = F.concat(F.when(F.col("p_size") % 2 == 0, "TAG_").otherwise("OLD_"), "p_partkey", F.lit(" "), "p_brand")
+    S.write_fasta(part.select(protein.alias("seq_name"), F.col("p_type").alias("sequence")), f"{path}/faa")
     nuc, prot = (R.read_fasta(spark, f"{path}/{k}", ordered=True).withColumn("filename", F.lit(f"iso.{k}")) for k in ("ffn", "faa"))
     return G.gene_sequences(nuc, prot).select("locus_tag", "nuc_sequence", "prot_sequence", "product")
