@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florametrics.functions import col_of, word_parts
 from florametrics.operators.aggregates import add_sum
-from florametrics.operators.joins import left_join_ns
+from florametrics.operators.joins import inner_join_ns, left_join_ns
 
 
 def widen(df: DataFrame, keys, name: str, value: str, values, how=F.first) -> DataFrame:
@@ -72,3 +72,42 @@ def wide_counts(counts: DataFrame, taxa, sample: str = "sample", taxon: str = "t
         raise ValueError(f"{rest!r} is a taxon: name the column of all others differently")
     named = counts.withColumn(taxon, F.when(F.col(taxon).isin(taxa), F.col(taxon)).otherwise(rest))
     return named.groupBy(sample).pivot(taxon, list(dict.fromkeys([*taxa, rest]))).agg(F.sum(value)).fillna(0)
+
+
+def csv_cell(c) -> Column:
+    """Text as a CSV cell: quoted where it holds a comma, a quote or a line break."""
+    text = F.coalesce(col_of(c).cast("string"), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(text.rlike('[,"\r\n]'), quoted).otherwise(text)
+
+
+def wide_lines(counts: DataFrame, by, sample: str = "sample", taxon: str = "taxon", value: str = "numseqs",
+               corner: str = "sampleID") -> DataFrame:
+    """Sample×taxon matrices as CSV lines, one matrix per ``by`` and no column per taxon in the plan.
+
+    Returns ``by``, ``is_row`` (false: the header) and ``line``. A matrix has the
+    taxa with any count in it, in byte order; a missing count is 0, repeated ones
+    are added up, and a sample without any count is a line of zeros. Rows without
+    sample take no part, those without taxon only name their sample.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    cells = counts.filter(F.col(sample).isNotNull()).groupBy(*by, sample, taxon).agg(
+        F.coalesce(F.sum(value), F.lit(0)).alias("__n"))
+    held = cells.filter(F.col(taxon).isNotNull()).groupBy(*by, taxon).agg(F.max("__n").alias("__most")).filter("__most > 0")
+    heads = held.groupBy(*by).agg(F.array_sort(F.collect_list(taxon)).alias("__taxa"))
+    placed = heads.select(*by, F.posexplode("__taxa").alias("__pos", taxon))
+    placed = inner_join_ns(cells, placed, [*by, taxon]).filter("__n <> 0")
+    rows = cells.select(*by, sample).distinct()
+    entries = placed.groupBy(*by, sample).agg(F.array_sort(F.collect_list(F.struct("__pos", "__n"))).alias("__cells"))
+    rows = left_join_ns(rows, entries, [*by, sample])
+    rows = left_join_ns(rows, heads.select(*by, F.size("__taxa").alias("__wide")), by)
+    none, own = F.lit(",0"), F.coalesce("__cells", F.array().cast(entries.schema["__cells"].dataType))
+    # Only counts that are there are walked through; what lies between them is zeros.
+    gap = lambda x, i: x["__pos"] - F.when(i == 0, -1).otherwise(F.get(own, i - 1)["__pos"]) - 1
+    shown = F.transform(own, lambda x, i: F.concat(F.repeat(none, gap(x, i)), F.lit(","), x["__n"].cast("string")))
+    last = F.coalesce(F.get(own, F.size(own) - 1)["__pos"], F.lit(-1))
+    left = F.coalesce(F.col("__wide"), F.lit(0)) - last - 1
+    line = F.concat(csv_cell(sample), F.array_join(shown, ""), F.repeat(none, left))
+    header = F.concat_ws(",", F.lit(corner), F.transform("__taxa", csv_cell))
+    return heads.select(*by, F.lit(False).alias("is_row"), header.alias("line")).unionByName(
+        rows.select(*by, F.lit(True).alias("is_row"), line.alias("line")))

@@ -271,12 +271,25 @@ def read_crispr_json(spark, paths, min_bytes: int = 4500, one_per_line: bool = F
     return read_many(spark, paths, "json", CRISPR, multiLine=not one_per_line, min_bytes=min_bytes, **opts)
 
 
-def read_assembly_summary(spark, paths, newest_only: bool = True, **opts) -> DataFrame:
-    """Contig lines of a sectioned summary, each with the ``##`` path that heads its block."""
+def newest_name(spark, paths, folder: bool = False, recursive: bool = False, name_glob: str | None = None) -> str | None:
+    """The last file by name, or the last ``folder`` that holds files. Files are listed, not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    files = (reader.option("pathGlobFilter", name_glob) if name_glob else reader).load(paths)
+    name = F.col("_metadata.file_path")
+    name = F.regexp_replace(name, "[^/]*$", "") if folder else name
+    return files.agg(F.max_by(name, decoded(name))).first()[0]
+
+
+def read_assembly_summary(spark, paths, newest_only: bool = True, folder: bool = False, **opts) -> DataFrame:
+    """Contig lines of a sectioned summary, each with the ``##`` path that heads its block.
+
+    Of several summaries the newest by name counts; a summary written in parts is a ``folder``.
+    """
     df = read_many(spark, paths, "text", lineSep="\n##", **opts)
     if newest_only:
-        newest = df.agg(F.max("filename").alias("__newest"))
-        df = df.join(F.broadcast(newest), F.col("filename") == F.col("__newest")).drop("__newest")
+        newest = newest_name(spark, paths, folder, **{k: v for k, v in opts.items() if k in ("recursive", "name_glob")})
+        at = F.col("_metadata.file_path")
+        df = df.where(at.startswith(F.lit(newest)) if folder else at == F.lit(newest))
     block = F.regexp_replace("value", "^##", "")
     lines = df.select(
         F.concat(F.lit("##"), F.substring_index(block, "\n", 1)).alias("path"),

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from florametrics.operators.joins import left_join_ns
+
+#: Rows of a folder that go into one file.
+ROWS_PER_FILE = 1_000_000
+
 
 def _write(df: DataFrame, target: str, mode: str, options: dict | None) -> None:
     writer = df.write.mode(mode)
@@ -53,6 +58,26 @@ def restore(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
+def dealt_by(df: DataFrame, by, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows of each folder ``by`` gathered for as few files as ``rows_per_file`` asks for; a large folder is split."""
+    by = [by] if isinstance(by, str) else list(by)
+    files = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("__files"))
+    dealt = left_join_ns(df, files, by).withColumn("__file", F.pmod(F.xxhash64(*df.columns), F.col("__files")))
+    return dealt.repartition(*by, "__file").drop("__files", "__file")
+
+
+def write_lines(lines: DataFrame, path: str, by: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Lines of ``wide_lines`` as CSV text: ``path/<by>=.../part=N`` folders of one file, each of which starts with its header."""
+    rows = lines.filter("is_row")
+    parts = rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("__parts"))
+    rows = left_join_ns(rows, parts, by).withColumn("part", F.pmod(F.xxhash64("line"), F.col("__parts")).cast("int"))
+    heads = left_join_ns(lines.filter("not is_row"), parts, by).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    both = heads.unionByName(rows).drop("__parts").repartition(by, "part")
+    ordered = both.sortWithinPartitions(by, "part", "is_row", "line")
+    ordered.select(by, "part", F.col("line").alias("value")).write.mode("overwrite").partitionBy(by, "part").text(path)
+
+
 def write_csv(df: DataFrame, path: str, partition_by=()) -> None:
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path, header=True)

@@ -2,7 +2,7 @@
 
 from florametrics_queries.registry import ORACLES, QUERIES
 from florametrics_queries import (  # noqa: F401  (importing registers)
-    aggregate, analyses, column, diversity, files, genome, join, order, scalar,
+    aggregate, analyses, column, diversity, files, genome, join, loading, order, scalar,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
