@@ -1,10 +1,13 @@
-"""Values shared by every pair of samples.
+"""Values shared by pairs of samples.
 
-The result has one row per pair, so its size is given; what can be saved is the
+``shared_min`` returns every pair, so its size is given; what can be saved is the
 work before it. Samples are hashed into blocks and keys into slices; one task
 holds one pair of blocks for one slice and adds ``min(x_a, x_b)`` into a dense
 block-by-block matrix. A key present in every sample never expands into rows,
 and neither a sample nor a key with very many rows lands in one task whole.
+
+``pairs_within`` returns only pairs that share a key, so it looks at no others:
+rows meet by key, a key with many rows in pairs of its own blocks.
 """
 
 from __future__ import annotations
@@ -16,9 +19,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florametrics.session import cut_lineage
+from florametrics.operators.joins import join_back
+from florametrics.session import cut_lineage, ship
 
 TILE_SCHEMA = "id_a string, id_b string, shared double, total_a double, total_b double"
+#: Products of a tile that are laid out at a time.
+AT_ONCE = 4_000_000
+
+
+def meetings(a_code: np.ndarray, b_code: np.ndarray, n_codes: int, at_once: int = AT_ONCE):
+    """Places (in a, in b) of all pairs of rows with equal codes, some ``at_once`` at a time; both sides sorted by code.
+
+    Each row of a meets the run of its code in b, so the pairs are counted and laid out by arithmetic, not key by key.
+    """
+    start = np.searchsorted(b_code, np.arange(n_codes + 1))
+    meets = np.diff(start)[a_code]
+    ends = np.cumsum(meets)
+    first = 0
+    while first < len(a_code):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + at_once, side="right")))
+        n = meets[first:last]
+        in_a = np.repeat(np.arange(first, last), n)
+        in_run = np.arange(len(in_a)) - np.repeat(np.cumsum(n) - n, n)
+        yield in_a, np.repeat(start[a_code[first:last]], n) + in_run
+        first = last
 
 
 def _add_tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -36,14 +61,15 @@ def _add_tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     a_row, b_row = np.full(len(ids), -1), np.full(len(ids), -1)
     a_row[a_ids], b_row[b_ids] = np.arange(len(a_ids)), np.arange(len(b_ids))
 
-    shared = np.zeros((len(a_ids), len(b_ids)))
-    codes, _ = pd.factorize(rows["key"][~marks])
+    shared = np.zeros(len(a_ids) * len(b_ids))
+    codes, names = pd.factorize(rows["key"][~marks])
     by_key = np.argsort(codes, kind="stable")
-    at, x = at[~marks][by_key], rows["x"].to_numpy()[~marks][by_key]
-    for where in np.split(np.arange(len(at)), np.flatnonzero(np.diff(codes[by_key])) + 1):
-        i, xi = at[where], x[where]
-        a, b = a_row[i] >= 0, b_row[i] >= 0
-        shared[np.ix_(a_row[i[a]], b_row[i[b]])] += np.minimum.outer(xi[a], xi[b])
+    at, x, codes = at[~marks][by_key], rows["x"].to_numpy()[~marks][by_key], codes[by_key]
+    a, b = a_row[at] >= 0, b_row[at] >= 0
+    (ia, xa, ca), (ib, xb, cb) = (a_row[at[a]], x[a], codes[a]), (b_row[at[b]], x[b], codes[b])
+    for i, j in meetings(ca, cb, len(names)):
+        shared += np.bincount(ia[i] * len(b_ids) + ib[j], np.minimum(xa[i], xb[j]), len(shared))
+    shared = shared.reshape(len(a_ids), len(b_ids))
 
     # The first slice emits every pair, the others only what they add.
     emit = np.ones_like(shared, dtype=bool) if piece == 0 else shared != 0
@@ -80,8 +106,10 @@ def shared_min(df: DataFrame, sample: str, key: str, value: str,
     """``sum(min(x_a, x_b))`` over common keys and both totals, for every pair of samples.
 
     ``df`` has one row per (sample, key) and values above zero. Every pair is
-    returned, with 0 where nothing is shared.
+    returned, with 0 where nothing is shared. Sums of whole numbers do not
+    depend on the tiling; those of fractions may differ in their last digits.
     """
+    ship(_add_tile)
     long = cut_lineage(df.select(
         F.col(sample).cast("string").alias("id"), F.col(key).cast("string").alias("key"),
         F.col(value).cast("double").alias("x"),
@@ -113,8 +141,44 @@ def shared_min(df: DataFrame, sample: str, key: str, value: str,
     )
 
 
-def pairs_within(df: DataFrame, sample: str, key: str, **tiling) -> DataFrame:
-    """Pairs of samples with at least one common key and how many they share."""
-    marks = df.select(sample, key).dropna().distinct().withColumn("__one", F.lit(1.0))
-    pairs = shared_min(marks, sample, key, "__one", **tiling)
-    return pairs.filter("shared > 0").select("id_a", "id_b", F.col("shared").cast("long").alias("n_shared"))
+def _count_tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of ids with a common key, and how many, of one tile: all rows of its keys, or two blocks of each key's rows."""
+    _, _, low, high = key
+    ids, at = np.unique(rows["id"].to_numpy(), return_inverse=True)
+    codes, names = pd.factorize(rows["key"])
+    by_key = np.argsort(codes, kind="stable")
+    at, codes, block = at[by_key], codes[by_key], rows["block"].to_numpy()[by_key]
+    a, b = block == low, block == high
+    found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for i, j in meetings(codes[a], codes[b], len(names)):
+        i, j = at[a][i], at[b][j]
+        once = i < j if low == high else np.ones(len(i), bool)
+        pair = np.minimum(i, j)[once] * len(ids) + np.maximum(i, j)[once]
+        pair, n = np.unique(pair, return_counts=True)
+        found, where = np.unique(np.concatenate([found, pair]), return_inverse=True)
+        counts = np.bincount(where, np.concatenate([counts, n]), len(found)).astype(np.int64)
+    return pd.DataFrame({"id_a": ids[found // len(ids)], "id_b": ids[found % len(ids)], "n": counts})
+
+
+def pairs_within(df: DataFrame, sample: str, key: str, block_size: int = 1024, tile_pairs: int = 8_000_000) -> DataFrame:
+    """Pairs of samples with at least one common key and how many they share.
+
+    Work and shuffle follow the meetings of two samples in a key, not the square
+    of the samples. A key with more than ``block_size`` rows is dealt into
+    blocks that meet in pairs; keys are dealt into as many slices as keep a
+    tile at about ``tile_pairs`` meetings. Both are expressions of the plan.
+    """
+    ship(_count_tile)
+    marks = df.select(F.col(sample).cast("string").alias("id"), F.col(key).cast("string").alias("key")).dropna().distinct()
+    held = marks.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    # A power of two, so that keys of like size share tiles.
+    blocks = F.expr(f"cast(pow(2, greatest(0, ceil(log2(rows / {block_size})))) as int)")
+    met = held.agg(F.coalesce(F.ceil(F.sum(F.col("rows").cast("double") * F.col("rows")) / 2 / tile_pairs), F.lit(1)).alias("slices"))
+    sized = join_back(held.withColumn("blocks", blocks), met, [])
+    dealt = marks.join(sized, "key").select(
+        "id", "key", "blocks", F.pmod(F.xxhash64("key"), F.col("slices")).alias("slice"),
+        F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "id", "key", "block", "blocks", "slice", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    counted = tiles.groupBy("blocks", "slice", "low", "high").applyInPandas(_count_tile, "id_a string, id_b string, n long")
+    return counted.groupBy("id_a", "id_b").agg(F.sum("n").alias("n_shared"))

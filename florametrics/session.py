@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
@@ -62,3 +65,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def ship(task: Callable) -> None:
+    """Let a task function travel with its module, so that workers need no copy of the package."""
+    if task.__module__ not in cloudpickle.list_registry_pickle_by_value():
+        cloudpickle.register_pickle_by_value(sys.modules[task.__module__])
