@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from florametrics.llm.common import bit_table, saved, ship_modules, sifted
 
-#: Rows of a key up to which those still apart meet in a join; beyond, they meet in blocks of this many.
+#: Rows of a key up to which those still apart meet in a join; beyond, they meet in blocks of this many. The links are the same.
 BLOCK = 256
+#: The same limit where blocks confirm links themselves.
+FEW = 32
 #: Size of the bit table of keys that occur more than once.
 KEY_BITS = 26
 
@@ -48,22 +50,56 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _block_task(most: int):
-    """Pairs of a block (or of two blocks) of a key that are in different components and whose bitmaps are near."""
+def _near(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """Which bitmaps of ``x`` differ from which of ``y`` in at most ``most`` bits."""
+    out = np.zeros((len(x), len(y)), bool)
+    for i, row in enumerate(x):
+        out[i] = np.bitwise_count(y ^ row).sum(1) <= most
+    return out
+
+
+def forest(links: np.ndarray, label_a: np.ndarray, label_b: np.ndarray):
+    """Links (row, column) that connect what all true cells of ``links`` connect; equal labels are connected already."""
+    label = np.concatenate([label_a, label_b])
+    kept = []
+    for i in np.flatnonzero(links.any(1)):
+        at = np.flatnonzero(links[i])
+        others, first = np.unique(label[len(label_a) + at], return_index=True)
+        new = others != label[i]
+        kept += [(i, j) for j in at[first[new]]]
+        label[np.isin(label, others)] = label[i]
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
+def _block_task(most: int, alike: Callable | None = None):
+    """Pairs of a block (or of two blocks) of a key that are in different components and whose bitmaps are near.
+
+    With ``alike`` these are confirmed here, and only a spanning forest of the links goes on.
+    """
     def task(key, pdf):
-        ids, c = pdf.id.to_numpy(np.int64), pdf.c.to_numpy(np.int64)
+        _, low, high = key
+        own, ids, c = pdf.own.to_numpy(), pdf.id.to_numpy(np.int64), pdf.c.to_numpy(np.int64)
         x = np.frombuffer(b"".join(pdf.bits), np.uint8).reshape(len(pdf), -1)
-        out = []
-        for i in range(len(ids) - 1):
-            hit = np.flatnonzero((np.bitwise_count(x[i + 1:] ^ x[i]).sum(1) <= most) & (c[i + 1:] != c[i])) + i + 1
-            out.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], 1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        a, b = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        hit = _near(x[a], x[b], most) & (c[a][:, None] != c[b][None, :])
+        if low == high:
+            hit = np.triu(hit, 1)
+        if alike is None:
+            i, j = np.nonzero(hit)
+        else:
+            # Rows without a near one need no set.
+            in_a, in_b = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
+            if len(in_a):
+                text = [t.encode() for t in pdf.text]
+                hit[np.ix_(in_a, in_b)] &= alike([text[k] for k in a[in_a]], [text[k] for k in b[in_b]])
+            i, j = forest(hit, c[a], c[b]).T
+        first, second = ids[a[i]], ids[b[j]]
+        return pd.DataFrame({"a": np.minimum(first, second), "b": np.maximum(first, second)})
     return task
 
 
 def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFrame, most: int, near: Callable | None = None,
-         scatter: bool = True) -> DataFrame:
+         scatter: bool = True, members: Callable[[DataFrame], DataFrame] | None = None, alike: Callable | None = None) -> DataFrame:
     """(id, component) of all ids linked to others; ``rows`` holds (key, id) and, with ``near``, tag; ids once per key.
 
     ``scatter`` takes each key's leaders by a hash of key and id; without it the least and largest id lead, which
@@ -72,6 +108,9 @@ def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFr
     ``bits`` (id, bits binary) has a bitmap of each id; pairs whose bitmaps differ in more than ``most`` bits are no links.
     It serves where many rows of a key are still apart: they are then compared in blocks within tasks.
 
+    There, ``alike(texts, texts)`` confirms links if it is given, on the (id, text) rows ``members(ids)`` finds, and
+    a block passes on no more links than it has rows; else candidates go to ``verify``.
+
     ``verify`` turns candidate pairs (a, b), a < b, into links; ``near(tag, tag)`` is a cheap test that comes before it.
     """
     ship_modules()
@@ -102,7 +141,8 @@ def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFr
     placed = many.select("key", "n", *held, "p_id").join(found.toDF("id", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
     placed = saved(placed.join(found.toDF("p_id", "main"), "p_id", "left").withColumn("main", F.coalesce("main", "p_id")), "placed")
     apart = placed.where("c <> main")
-    outside = apart.where(F.col("n") <= BLOCK).select("key", *named("", "a"), F.col("c").alias("ca"), F.col("main").alias("m"))
+    few = FEW if alike else BLOCK
+    outside = apart.where(F.col("n") <= few).select("key", *named("", "a"), F.col("c").alias("ca"), F.col("main").alias("m"))
     torn = apart.select("key").distinct()
     inside = saved(placed.join(torn, "key", "left_semi"), "torn")
     other = inside.select("key", *named("", "b"), F.col("c").alias("cb"))
@@ -110,16 +150,23 @@ def link(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], bits: DataFr
     if "tag" in held:
         meet = meet & near(F.col("a_tag"), F.col("b_tag"))
     rest = pairs(outside.join(other, "key").where(meet))
-    large = inside.where(F.col("n") > BLOCK).join(bits, "id").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    large = inside.where(F.col("n") > few)
+    confirmed = None
+    if alike and not large.isEmpty():
+        large = large.join(members(large.select("id").distinct()), "id")
+    large = large.join(bits, "id").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     large = large.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = large.groupBy("key", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")).applyInPandas(
-        _block_task(most), "a long, b long").distinct()
-    rest = rest.unionByName(met).join(first, ["a", "b"], "left_anti")
-    rest = saved(rest, "rest")
-    if rest.isEmpty():
+    met = large.groupBy("key", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"))
+    if not alike:
+        rest = rest.unionByName(met.applyInPandas(_block_task(most), "a long, b long").distinct())
+    elif "text" in large.columns:
+        confirmed = saved(met.applyInPandas(_block_task(most, alike), "a long, b long").distinct(), "links")
+    rest = saved(rest.join(first, ["a", "b"], "left_anti"), "rest")
+    more = confirmed if rest.isEmpty() else saved(verify(rest), "links")
+    if more is None:
         return found
-    more = saved(verify(rest), "links")
+    more = more.unionByName(confirmed) if confirmed is not None and confirmed is not more else more
     if more.isEmpty():
         return found
     # Components take the place of the links they were made from.

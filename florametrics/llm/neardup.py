@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from florametrics.llm.common import only_of, saved, ship_modules, texts
 from florametrics.llm.linking import link
 from florametrics.llm.words import mix, shingles, word_hashes
+from florametrics.operators.pairwise import meetings
+from florametrics.session import ship
 
 SAMPLES, BANDS, BITS = 256, 32, 1024
 
@@ -92,6 +94,25 @@ def _confirm_task(words: int, percent: int):
     return task
 
 
+def _alike(words: int, percent: int):
+    """Confirmation of two lists of texts against each other on their full sets, counted by shared shingle."""
+    def alike(left: list[bytes], right: list[bytes]) -> np.ndarray:
+        a, b = list(_sets(left, words)), list(_sets(right, words))
+        size_a, size_b = np.array([len(s) for s in a]), np.array([len(s) for s in b])
+        names, code = np.unique(np.concatenate(a + b), return_inverse=True)
+        row = np.repeat(np.arange(len(a) + len(b)), np.concatenate([size_a, size_b]))
+        order = np.argsort(code, kind="stable")
+        code, row = code[order], row[order]
+        of_a = row < len(a)
+        row_a, row_b = row[of_a], row[~of_a] - len(a)
+        both = np.zeros(len(a) * len(b), np.int64)
+        for i, j in meetings(code[of_a], code[~of_a], len(names), 1_000_000):
+            both += np.bincount(row_a[i] * len(b) + row_b[j], minlength=len(both))
+        both = both.reshape(len(a), len(b))
+        return 100 * both >= percent * (size_a[:, None] + size_b[None, :] - both)
+    return alike
+
+
 def _estimate_task(least: float):
     def task(frames):
         for pdf in frames:
@@ -109,6 +130,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, margin:
     ``margin`` is how far below ``percent`` an estimate still goes to confirmation (some four standard deviations).
     """
     ship_modules()
+    ship(meetings)
     rows = texts(docs)
     sketched = saved(rows.mapInPandas(_sketch_task(words), "doc_id long, n_shingles long, same binary, sketch binary, bands array<long>"), "sketches")
     heads = saved(sketched.where("same IS NOT NULL").groupBy("same").agg(
@@ -124,9 +146,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, margin:
         both = likely.join(held.toDF("a", "text_a"), "a").join(held.toDF("b", "text_b"), "b")
         return both.mapInPandas(_confirm_task(words, percent), "a long, b long")
 
+    def members(ids: DataFrame) -> DataFrame:
+        return saved(only_of(rows, ids), "texts").withColumnRenamed("doc_id", "id")
+
     size = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     most = int((similarity(np.arange(BITS // 2)) >= percent / 100 - margin).sum()) - 1
-    found = link(keyed, verify, sketch.withColumnRenamed("sketch", "bits"), most, size)
+    found = link(keyed, verify, sketch.withColumnRenamed("sketch", "bits"), most, size, members=members, alike=_alike(words, percent))
     of_set = heads.select("same", "id").join(found, "id", "left").select("same", F.coalesce("component", "id").alias("component_id"))
     placed = sketched.select("doc_id", "n_shingles", "same").join(of_set, "same", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return placed.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

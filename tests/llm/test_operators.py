@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from florametrics.llm import brown, html, linedup, mtree, neardup, packing, quality, suffixes, tiling, toxicity
 from florametrics.llm.common import fold, labelled_sample
+from florametrics.llm import linking
 from florametrics.llm.linking import components
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -131,6 +132,42 @@ def test_near_duplicates_large_group(documents):
     assert got == groups(rows, 3, 85)
 
 
+def test_rows_of_a_large_group_grow_with_its_rows(documents, monkeypatch):
+    """Blocks confirm their pairs and pass on a forest: no more rows than the keys have, though nearly all pairs are refused."""
+    rng = random.Random(10)
+    base, rows = sentence(rng, 60).split(), []
+    for i in range(700):
+        own = list(base)
+        for _ in range(rng.randint(0, 4)):
+            own[rng.randrange(60)] = f"w{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    seen, written = [], linking.saved
+    monkeypatch.setattr(linking, "saved", lambda df, name: seen.append((name, out := written(df, name))) or out)
+    got = {r[0]: tuple(r[1:]) for r in neardup.near_duplicates(documents(rows)).collect()}
+    assert got == groups(rows, 3, 85)
+    most = {name: max(df.count() for n, df in seen if n == name) for name, _ in seen}
+    assert most["torn"] > 700 and most["rest"] + most["links"] < 2 * most["torn"]
+
+
+def test_forest_connects_what_links_connect():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        links = rng.random((9, 7)) < 0.15
+        a, b = rng.integers(0, 12, 9), rng.integers(0, 12, 7)
+        links &= a[:, None] != b[None, :]
+        kept = linking.forest(links, a, b)
+
+        def joined(pairs):
+            label = {x: x for x in range(12)}
+            for i, j in pairs:
+                x, y = label[a[i]], label[b[j]]
+                label = {k: x if v == y else v for k, v in label.items()}
+            return {frozenset(k for k in label if label[k] == v) for v in label.values()}
+
+        assert all(links[i, j] for i, j in kept) and len(kept) < 12
+        assert joined(kept) == joined(zip(*np.nonzero(links)))
+
+
 def test_near_duplicates_odd(documents, odd):
     got = {r[0]: r[2] for r in neardup.near_duplicates(documents(odd, key="k", tag="t")).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8, 9: 9, 10: 10, 11: 10}
