@@ -17,3 +17,45 @@ def test_a_pair_tile_passes_on_a_row_per_id_not_per_pair():
 def test_a_pair_tile_without_pairs_is_empty():
     rows = pd.DataFrame([("s1", "a", 0), ("s2", "b", 0)], columns=["id", "key", "block"])
     assert len(P._count_tile((1, 0, 0, 0), rows)) == 0
+
+
+def test_draws_are_counted_where_they_are_made(spark):
+    """Three samples of 50,000 reads: no more rows than taxa leave the draws, whole or in parts of a large sample."""
+    from florametrics.plans import diversity as D
+    df = spark.createDataFrame([(s, t, 5_000) for s in "abc" for t in "0123456789"], "sample string, taxon string, numseqs long")
+    for replace in (True, False):
+        plan = D.rarefy(df, replace=replace, seed=1)
+        assert plan.count() == 30 and plan.agg({"numseqs": "sum"}).first()[0] == 150_000
+        assert "pos" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parts_of_a_stack_share_its_draws():
+    import pyarrow as pa
+    from florametrics.plans.diversity import _draw
+
+    def drawn(parts):
+        names = ["sample", "taxon", "numseqs", "start", "total", "key", "first", "last"]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*parts)], names=names)
+        return {t: n for b in _draw(False)([batch]) for t, n in zip(b["taxon"].to_pylist(), b["numseqs"].to_pylist())}
+
+    whole = drawn([("s", ["a", "b", "c", "d"], [500, 1, 300, 199], 0, 1000, 77, 0, 400)])
+    parts = drawn([("s", ["a", "b"], [500, 1], 0, 1000, 77, 0, 400), ("s", ["c", "d"], [300, 199], 501, 1000, 77, 0, 400)])
+    assert whole == parts and sum(whole.values()) == 400
+
+
+def test_bit_table_comes_in_pieces(spark):
+    """The table of a full set of words, whose driver saw a row per word before, is the one made in numpy."""
+    from pyspark.sql import functions as F
+    from florametrics.llm.common import bit_table
+    from florametrics.llm.words import may_hold
+    from unittest import mock
+
+    ids = spark.range(0, 60_000, 1, 3).select(F.xxhash64("id").alias("id"))
+    values = np.array([r.id for r in ids.collect()], np.int64).view(np.uint64)
+    with mock.patch("pyspark.sql.DataFrame.toPandas", side_effect=AssertionError("a row per word came to the driver")):
+        for bits in (10, 24):
+            got = bit_table(ids, bits)
+            assert len(got) == 1 << (bits - 6) and may_hold(got, values).all()
+            others = (np.arange(1, 50_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            assert bits < 20 or may_hold(got, others).mean() < 0.1
+        assert not bit_table(ids.limit(0), 12).any()
