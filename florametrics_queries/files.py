@@ -20,7 +20,8 @@ from florametrics_queries.registry import query
 def _tsv(df, spark, name, header=False, by=None, sep="\t") -> str:
     """Write a table as delimited text, one folder per value of ``by``; returns the pattern that reads it."""
     path = scratch_path(spark, name)
-    writer = df.write.option("quote", "")
+    # Each folder's rows meet first: a task would else leave a file of its own in every folder it has rows of.
+    writer = (S.dealt_by(df, by) if by else df).write.option("quote", "")
     (writer.partitionBy(by) if by else writer).csv(path, sep=sep, header=header)
     return f"{path}/*" if by else path
 

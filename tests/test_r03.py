@@ -59,3 +59,13 @@ def test_bit_table_comes_in_pieces(spark):
             others = (np.arange(1, 50_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             assert bits < 20 or may_hold(got, others).mean() < 0.1
         assert not bit_table(ids.limit(0), 12).any()
+
+
+def test_a_folder_per_sample_has_one_file(spark):
+    """Rows of 40 samples in 16 partitions: a folder per sample with one file, not one for each task that holds its rows."""
+    from pathlib import Path
+    from florametrics_queries.files import _tsv
+
+    df = spark.sql("SELECT id v, id % 40 s FROM range(0, 4000, 1, 16)")
+    folder = Path(_tsv(df, spark, "folders", by="s").removesuffix("/*").removeprefix("file:"))
+    assert [len(list(d.glob("*.csv"))) for d in folder.glob("s=*")] == [1] * 40
