@@ -69,3 +69,22 @@ def test_a_folder_per_sample_has_one_file(spark):
     df = spark.sql("SELECT id v, id % 40 s FROM range(0, 4000, 1, 16)")
     folder = Path(_tsv(df, spark, "folders", by="s").removesuffix("/*").removeprefix("file:"))
     assert [len(list(d.glob("*.csv"))) for d in folder.glob("s=*")] == [1] * 40
+
+
+def test_wide_matrix_files_are_cut_by_bytes_and_compressed(spark, tmp_path):
+    """300 samples of 2,000 taxa, a row is 4,000 bytes of zeros: several files by their width, a fraction of the bytes, the same lines."""
+    import gzip
+    from florametrics.operators.reshape import wide_lines
+    from florametrics.sources import sinks as S
+
+    counts = spark.sql("SELECT concat('s', id % 300) sample, concat('t', id) taxon, 1 numseqs, 'x' lab FROM range(2000)")
+    lines = wide_lines(counts, "lab")
+    S.write_lines(lines, f"{tmp_path}/wide", "lab", bytes_per_file=1_000_000, compression="gzip")
+    files = list((tmp_path / "wide" / "lab=x").glob("part=*/*.txt.gz"))
+    assert len(files) >= 3 and sum(f.stat().st_size for f in files) < 300 * 4_000 / 10
+    read = [gzip.open(f, "rt").read().splitlines() for f in files]
+    want = {r.is_row: set() for r in lines.select("is_row").distinct().collect()}
+    for r in lines.collect():
+        want[r.is_row].add(r.line)
+    assert {r[0] for r in read} == want[False] and {x for r in read for x in r[1:]} == want[True]
+    assert sum(len(r) - 1 for r in read) == 300
