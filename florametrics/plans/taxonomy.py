@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from florametrics.functions import blank_to, file_name, matches, null_to, paste, ratio, sub, taxid
@@ -60,9 +60,14 @@ def _stacked_shares(amounts: DataFrame, keys, ranks, amount: str, split: bool) -
     """Share, cumulative share and slice midpoint in rank order.
 
     Amounts are stacked before they are divided, so whole numbers add up exactly.
+    Without ``split`` the group is stacked in one window, and its total is taken where it lies.
     """
-    ordered, order = na_last(join_back(amounts, sum_by(amounts, keys, amount, "total"), keys), ranks)
+    if split:
+        amounts = join_back(amounts, sum_by(amounts, keys, amount, "total"), keys)
+    ordered, order = na_last(amounts, ranks)
     placed = stack_positions(ordered, keys, order, amount, cum="__cum", mid="__mid", split=split)
+    if not split:
+        placed = placed.withColumn("total", F.sum(amount).over(Window.partitionBy(*keys)))
     return placed.withColumns({
         "pctseqs": ratio(amount, "total"), "cum_pct": ratio("__cum", "total"), "y_text": ratio("__mid", "total"),
     })
@@ -99,9 +104,11 @@ def abundance_profile(counts: DataFrame, tax: DataFrame, samples: DataFrame | No
     """
     ranks = [top] + RANKS[1:RANKS.index(level) + 1]
     keys = ["sample", *([group] if group else [])]
-    long = left_join_ns(counts.filter(F.col("numseqs") > 0), tax, "taxon")
+    long = counts.filter(F.col("numseqs") > 0)
     if group:
+        # Before the lineage, while rows are narrow.
         long = left_join_ns(long, samples.select("sample", group), "sample")
+    long = left_join_ns(long, tax, "taxon")
     long = long.withColumns({r: null_to(r, "unclassified") for r in RANKS[1:] if r in long.columns})
     if level == "Genus":
         unnamed = F.concat(F.col("Family"), F.lit("\n"), F.col("Genus"))
