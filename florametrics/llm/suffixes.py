@@ -7,10 +7,13 @@ anchor are one: every later one is a repeat throughout. Where an anchor has
 several regions, these are the documents of a collection, built column by
 column: each round puts one more symbol of every region, from its end to its
 start, into the collection's Burrows-Wheeler transform at the place that the
-last-to-first mapping gives. In the order of suffixes that results, neighbours
-whose common prefix reaches ``span`` are equal strings; all but the first in
-the corpus are repeats. Anchors of more regions than a collection holds are
-compared string by string in an aggregate.
+last-to-first mapping gives. A symbol is a byte and its place beside the
+anchor, since equal strings have it at the same place: so the suffixes that a
+round adds lie together, and only the rows of the round before are mapped. In
+the order of suffixes that results, neighbours whose common prefix reaches
+``span`` are equal strings; all but the first in the corpus are repeats.
+Anchors of more regions than a collection holds are compared string by string
+in an aggregate.
 
 Defined results: a null text is empty; texts shorter than ``span`` lose nothing; a repeated
 doc_id counts as one document for "earlier" (equal starts are no repeats of each other); an
@@ -156,48 +159,73 @@ def sort_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndar
     return string[keep], (size[string] - length)[keep]
 
 
-def repeats(strings: list[bytes], first: np.ndarray, span: int) -> list[np.ndarray]:
-    """Starts, in each string, of ``span``-byte parts that also start earlier; ``first`` holds each string's (document, place)."""
-    string, start = sort_suffixes(strings, span)
-    out = [np.zeros(0, np.int64)] * len(strings)
-    if not len(string):
-        return out
-    data = np.frombuffer(b"".join(strings), dtype=np.uint8)
-    begin = np.concatenate([[0], np.cumsum([len(s) for s in strings])])[string] + start
-    parts = np.lib.stride_tricks.sliding_window_view(data, span)
-    same = np.zeros(len(string), dtype=bool)
-    for i in range(1, len(string), 50_000):
-        same[i:i + 50_000] = (parts[begin[i:i + 50_000]] == parts[begin[i - 1:i - 1 + len(begin[i:i + 50_000])]]).all(1)
-    group = np.cumsum(~same)
-    doc, place = first[string, 0], first[string, 1] + start
-    order = np.lexsort((place, doc, group))
-    lead = np.concatenate([[True], np.diff(group[order]) != 0])
-    # An equal start found through another region of the same place is no earlier one.
-    at = order[np.flatnonzero(lead)][np.cumsum(lead) - 1]
-    later = order[(doc[order] != doc[at]) | (place[order] != place[at])]
-    later = later[np.lexsort((start[later], string[later]))]
-    cut = np.flatnonzero(np.diff(string[later])) + 1
-    for own in np.split(later, cut) if len(later) else []:
-        out[string[own[0]]] = start[own]
-    return out
-
+def sort_columns(strings: list[bytes], begin: np.ndarray):
+    """(column, strings in the order of their suffixes from there on), last column first; a string's bytes lie from column ``begin`` on.
 
-def _runs(starts: np.ndarray, span: int) -> list[tuple[int, int]]:
-    """Merged byte ranges of parts that start at sorted ``starts``."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > span)
-    return list(zip(starts[np.concatenate([[0], cut + 1])].tolist(), (starts[np.concatenate([cut, [len(starts) - 1]])] + span).tolist()))
+    The same construction over symbols that are a byte and its column. Suffixes of one column then are one run of the
+    transform, empty ones first, and the last-to-first mapping of a run is a stable sort of its symbols.
+    """
+    size = np.array([len(s) for s in strings], dtype=np.int64)
+    end = begin + size
+    columns = int(end.max(initial=0))
+    column = np.arange(columns)
+    grid = np.zeros((len(strings), columns), dtype=np.uint16)
+    grid[(column >= begin[:, None]) & (column < end[:, None])] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
+    grid = np.ascontiguousarray(grid.T)  # 0: the string has begun, its first byte is in the column behind
+    rows = np.flatnonzero(end == columns)
+    for c in range(columns - 1, -1, -1):
+        bwt = grid[c][rows]
+        rows = rows[np.argsort(bwt, kind="stable")][np.count_nonzero(bwt == 0):]
+        rows = np.concatenate([np.flatnonzero(end == c), rows])
+        yield c, rows
+
+
+def repeats(strings: list[bytes], first: np.ndarray, begin: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(string, start), in order, of ``span``-byte parts that also start earlier.
+
+    ``first`` holds each string's (document, place), ``begin`` the column of its first byte: only parts of one column are compared.
+    """
+    size = np.array([len(s) for s in strings], dtype=np.int64)
+    data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    offset = np.cumsum(size) - size
+    string, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    parts = np.lib.stride_tricks.sliding_window_view(data, span) if len(data) >= span else None
+    for c, rows in sort_columns(strings, begin):
+        rows = rows[size[rows] + begin[rows] - c >= span]
+        if len(rows) < 2:
+            continue
+        at = offset[rows] + c - begin[rows]
+        same = np.zeros(len(rows), dtype=bool)
+        for i in range(1, len(rows), 50_000):
+            same[i:i + 50_000] = (parts[at[i:i + 50_000]] == parts[at[i - 1:i - 1 + len(at[i:i + 50_000])]]).all(1)
+        group = np.cumsum(~same)
+        shared = same | np.append(same[1:], False)
+        rows, group = rows[shared], group[shared]
+        doc, place = first[rows, 0], first[rows, 1] + c - begin[rows]
+        order = np.lexsort((place, doc, group))
+        lead = np.concatenate([[True], np.diff(group[order]) != 0])[:len(order)]
+        # An equal start found through another region of the same place is no earlier one.
+        to = order[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+        later = rows[order[(doc[order] != doc[to]) | (place[order] != place[to])]]
+        string.append(later)
+        start.append(c - begin[later])
+    string, start = np.concatenate(string), np.concatenate(start)
+    order = np.lexsort((start, string))
+    return string[order], start[order]
 
 
 def _collection_task(span: int):
+    reach = span - GRAM
+
     def task(key, pdf):
         pdf = pdf.sort_values(["doc_id", "low"])
         first = pdf[["doc_id", "low"]].to_numpy(np.int64)
-        out = []
-        for (doc, low), starts in zip(first.tolist(), repeats(list(pdf.region), first, span)):
-            out += [(doc, low + a, low + b) for a, b in _runs(starts, span)]
-        return pd.DataFrame(out, columns=["doc_id", "low", "high"]).astype("int64")
+        string, start = repeats(list(pdf.region), first, reach - pdf.before.to_numpy(np.int64), span)
+        # Parts of a string that overlap or touch are one range.
+        cut = (np.diff(string) != 0) | (np.diff(start) > span)
+        head, tail = np.flatnonzero(np.append(True, cut)[:len(string)]), np.flatnonzero(np.append(cut, True)[:len(string)])
+        low = first[string[head], 1]
+        return pd.DataFrame({"doc_id": first[string[head], 0], "low": low + start[head], "high": low + start[tail] + span})
     return task
 
 
@@ -227,8 +255,8 @@ def _cut_task(span: int):
                 data = _unpack(packed)
                 for s in spots:
                     low = max(s["at"] - reach, 0)
-                    out.append((s["h"], s["regions"], doc_id, low, data[low:s["at"] + span]))
-            yield pd.DataFrame(out, columns=["h", "regions", "doc_id", "low", "region"])
+                    out.append((s["h"], s["regions"], doc_id, low, s["at"] - low, data[low:s["at"] + span]))
+            yield pd.DataFrame(out, columns=["h", "regions", "doc_id", "low", "before", "region"])
     return task
 
 
@@ -273,7 +301,7 @@ def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 4000, collection: int = 8000) -> DataFrame:
+def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 50_000, collection: int = 8000) -> DataFrame:
     """(doc_id, low, high): byte ranges covered by ``span``-byte strings that also start earlier; ranges of a document may overlap.
 
     ``collection`` is about how many regions are sorted together; an anchor of more than ``most`` regions goes to the aggregate.
@@ -292,7 +320,7 @@ def repeated_ranges(docs: DataFrame, span: int = 100, most: int = 4000, collecti
     wanted = saved(compared.groupBy("doc_id").agg(F.collect_list(F.struct("h", "regions", "at")).alias("spots")), "wanted")
     some = only_of(rows, wanted.select(F.col("doc_id").alias("id")))
     cut = saved(_packed(some).join(wanted, "doc_id").mapInPandas(
-        _cut_task(span), "h long, regions long, doc_id long, low long, region binary"), "collections")
+        _cut_task(span), "h long, regions long, doc_id long, low long, before int, region binary"), "collections")
     total = cut.count()
     some = cut.where(F.col("regions") <= most).withColumn("lot", F.pmod("h", F.lit(-(-max(1, total) // collection))))
     sorted_ = some.groupBy("lot").applyInPandas(_collection_task(span), "doc_id long, low long, high long")

@@ -76,6 +76,25 @@ def test_suffix_order():
     assert got == sorted(x[i:] for x in strings for i in range(len(x)))
 
 
+def test_repeats_of_a_column():
+    """Each round sorts one suffix of a string at most, and equal parts are found in their column."""
+    rng = random.Random(4)
+    for _ in range(200):
+        n, span = rng.randint(0, 10), rng.randint(1, 6)
+        strings = [bytes(rng.choices(b"ab\x00\xff", k=rng.randint(0, 12))) for _ in range(n)]
+        begin = np.array([rng.randint(0, 4) for _ in range(n)], np.int64)
+        first = np.array([(rng.randint(0, 3), rng.randint(0, 5)) for _ in range(n)], np.int64).reshape(-1, 2)
+        for c, rows in suffixes.sort_columns(strings, begin):
+            tails = [strings[i][c - begin[i]:] for i in rows]
+            assert tails == sorted(tails) and len(set(rows.tolist())) == len(rows)
+        starts: dict = {}
+        for i, s in enumerate(strings):
+            for a in range(len(s) - span + 1):
+                starts.setdefault((begin[i] + a, s[a:a + span]), []).append((first[i, 0], first[i, 1] + a, i, a))
+        want = sorted((i, a) for same in starts.values() for doc, place, i, a in same if (doc, place) > min(same)[:2])
+        assert list(zip(*(x.tolist() for x in suffixes.repeats(strings, first, begin, span)))) == want
+
+
 def test_repeated_bytes_odd(documents, odd):
     got = {r[0]: tuple(r[1:]) for r in suffixes.remove_repeats(documents(odd, h="x", r="y")).collect()}
     want = removed([r for r in odd if r[0] not in (8, 9)] + [(8, "word " * 30_000), (9, "a" * 50_000)])
