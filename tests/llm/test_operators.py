@@ -12,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from florametrics.llm import brown, html, linedup, mtree, neardup, packing, quality, suffixes, tiling, toxicity
-from florametrics.llm.common import fold, labelled_sample
+from florametrics.llm.common import bit_table, fold, labelled_sample, met_twice
 from florametrics.llm import linking
 from florametrics.llm.linking import components
+from florametrics.llm.words import may_hold
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = [a + b for a in ("ba", "de", "fi", "go", "lu", "ma", "ne", "ro") for b in ("n", "r", "st", "l", "ve", "ko", "ta", "x")]
@@ -228,6 +229,36 @@ def test_edit_distance_is_that_of_the_table():
         assert linedup.edit_distance(a, b) == table(a, b)
 
 
+def test_pairs_within_the_limit_pass_the_count_of_marks():
+    rng = random.Random(12)
+    near, far = [], []
+    for _ in range(400):
+        a = sentence(rng, rng.randint(1, 20))
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 8)):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randint(0, 1)] = rng.choice(["", "é", "xy", " "])
+        near.append((a, "".join(b)))
+        far.append((a, "".join(rng.sample(a, len(a)))))
+    may, most = linedup.may_be_within(*zip(*near), 0.1)
+    within = np.array([linedup.edit_distance(a, b) for a, b in near]) <= most
+    assert within.any() and may[within].all()
+    # Marks in another order are told apart without an edit distance.
+    assert linedup.may_be_within(*zip(*[p for p in far if len(p[0]) > 60]), 0.1)[0].mean() < 0.1
+
+
+def test_values_met_twice_are_marked(spark):
+    """The values that several rows hold, whichever tasks these are in, and hardly any other, without a row per value in a shuffle."""
+    twice = [x * 7919 - 5_000_000 for x in range(3000)]
+    once = [x * 104_729 + 3 for x in range(1, 20_001)]
+    rows = spark.createDataFrame([(x,) for x in twice + once + twice[::-1]], "key long").repartition(7)
+    met = met_twice(rows, "key")
+    assert 3000 <= met.count() <= 3002
+    held = may_hold(bit_table(met, 22, hashed=True), np.array(twice + once, np.int64).view(np.uint64))
+    assert held[:3000].all() and held[3000:].mean() < 0.01
+    assert not bit_table(met_twice(rows.where("key is null"), "key"), 22, hashed=True).any()
+
+
 def test_line_dedup(documents):
     rng = random.Random(4)
     line, other = sentence(rng, 90), sentence(rng, 90)
