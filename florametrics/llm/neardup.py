@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florametrics.llm.common import only_of, saved, ship_modules, texts
-from florametrics.llm.linking import link
+from florametrics.llm.linking import FEW, link
 from florametrics.llm.words import mix, shingles, word_hashes
 from florametrics.operators.pairwise import meetings
 from florametrics.session import ship
@@ -96,7 +96,7 @@ def _confirm_task(words: int, percent: int):
 
 def _alike(words: int, percent: int):
     """Confirmation of two lists of texts against each other on their full sets, counted by shared shingle."""
-    def alike(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    def alike(left: list[bytes], right: list[bytes], near: np.ndarray) -> np.ndarray:
         a, b = list(_sets(left, words)), list(_sets(right, words))
         size_a, size_b = np.array([len(s) for s in a]), np.array([len(s) for s in b])
         names, code = np.unique(np.concatenate(a + b), return_inverse=True)
@@ -151,7 +151,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, margin:
 
     size = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     most = int((similarity(np.arange(BITS // 2)) >= percent / 100 - margin).sum()) - 1
-    found = link(keyed, verify, sketch.withColumnRenamed("sketch", "bits"), most, size, members=members, alike=_alike(words, percent))
+    found = link(keyed, verify, sketch.withColumnRenamed("sketch", "bits"), most, size, members=members, alike=_alike(words, percent), few=FEW)
     of_set = heads.select("same", "id").join(found, "id", "left").select("same", F.coalesce("component", "id").alias("component_id"))
     placed = sketched.select("doc_id", "n_shingles", "same").join(of_set, "same", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return placed.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from florametrics.llm import brown, html, linedup, mtree, neardup, packing, quality, suffixes, tiling, toxicity
+from florametrics.llm import brown, html, linedup, linking, mtree, neardup, packing, quality, suffixes, tiling, toxicity
 from florametrics.llm.common import bit_table, fold, labelled_sample, met_twice
 from florametrics.llm import linking
 from florametrics.llm.linking import components
@@ -229,6 +229,27 @@ def test_edit_distance_is_that_of_the_table():
         assert linedup.edit_distance(a, b) == table(a, b)
 
 
+def test_edit_distance_ends_early_only_beyond_the_limit():
+    rng = random.Random(5)
+    early = 0
+    for _ in range(500):
+        a = "".join(rng.choice("abcde ") for _ in range(rng.randint(0, 300)))
+        b = list(a)
+        for _ in range(rng.randint(0, 60)):
+            at = rng.randint(0, len(b))
+            b[at:at + rng.randint(0, 1)] = rng.choice(["", "f", "gh"])
+        b = "".join(b)
+        far = linedup.edit_distance(a, b)
+        for most in (far, max(0, far - 1), far // 2, far + 5):
+            got = linedup.edit_distance(a, b, most)
+            assert got == far if far <= most else got > most
+            early += got < far
+        if a and b:
+            x, y = (np.frombuffer(s, np.uint8).astype(int) for s in linedup.sketches([a, b]))
+            assert np.abs(x - y).sum() <= 4 * far
+    assert early > 50
+
+
 def test_pairs_within_the_limit_pass_the_count_of_marks():
     rng = random.Random(12)
     near, far = [], []
@@ -286,6 +307,27 @@ def test_line_dedup_removes_near_copies_of_every_length(documents):
     assert {r["doc_id"]: r["text"] for r in linedup.dedup_lines(documents(rows)).collect()} == want
 
 
+def test_line_dedup_meets_large_keys_in_blocks(documents, monkeypatch):
+    """Lines that share a key and no more meet in tasks: no row per pair is written, and links are still found among them."""
+    rng = random.Random(9)
+    rows = [(i, f"{sentence(rng, 12)} marker{i % 5} word") for i in range(300)]
+    rows += [(300 + i, rows[i][1][:-4] + "wort") for i in range(0, 300, 30)]
+    read, sizes = linedup.saved, []
+
+    def counted(df, name):
+        out = read(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(linedup, "saved", counted)
+    monkeypatch.setattr(linking, "saved", counted)
+    monkeypatch.setattr(linedup, "bands", lambda lines: np.full((len(lines), linedup.BANDS), 7, np.int32))
+    monkeypatch.setattr(linedup, "FAR", 64)
+    got = {r["doc_id"]: r["removed"] for r in linedup.removed_lines(documents(rows)).collect()}
+    assert got == {300 + i: [0] for i in range(0, 300, 30)}
+    assert max(n for name, n in sizes if name in ("pairs", "rest", "links", "likely")) < 310 * 16
+
+
 def test_line_dedup_odd(documents, odd):
     got = {r["doc_id"]: r["text"] for r in linedup.dedup_lines(documents(odd, at="x", id="y")).collect()}
     assert got == {i: t for i, t in odd if i not in (5, 11)}
