@@ -473,6 +473,48 @@ def test_exchange_finds_classes(spark):
     assert counts.sum() == 180 and max(trail) > trail[0]
 
 
+def likelihood(pairs, of, k):
+    table = np.zeros((k, k))
+    for a, b in pairs:
+        table[of[a], of[b]] += 1
+    f = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1e-12)), 0.0)
+    return table, f(table).sum() - f(table.sum(0)).sum() - f(table.sum(1)).sum()
+
+
+def test_best_class_of_a_word_by_brute_force():
+    rng = np.random.default_rng(5)
+    k, words = 4, 12
+    pairs = [tuple(p) for p in (rng.integers(0, words, (300, 2)) ** 2 // words)]
+    of = rng.integers(0, k, words)
+    table, _ = likelihood(pairs, of, k)
+    rows = Counter()
+    for a, b in pairs:
+        for w, side, other in ([(a, 2, of[a])] if a == b else [(a, 0, of[b]), (b, 1, of[a])]):
+            rows[w, side, other] += 1
+    at, side, other = (np.array(x) for x in zip(*rows))
+    got = brown.best_classes(of, at, side, other, np.array(list(rows.values())), table)
+    for w in range(words):
+        value = [likelihood(pairs, np.where(np.arange(words) == w, c, of), k)[1] for c in range(k)]
+        assert math.isclose(value[got[w]], max(value), rel_tol=1e-12)
+
+
+def test_rare_words_are_classed_by_their_neighbours(documents):
+    """Words of one ending that stand in two kinds of places: their bigrams tell them apart, their spelling does not."""
+    rng = random.Random(14)
+    kinds = [[f"{x}{y}zzz" for y in "abcdefghijklmnopqrstuvwxy"] for x in "mn"]
+    word = lambda often, kind: rng.choice(often) if rng.random() < 0.4 else rng.choice(kind)
+    rows = [(i, " ".join(w for _ in range(40) for w in ("the", word(["cat", "dog"], kinds[0]), "will", word(["run", "eat"], kinds[1])))) for i in range(60)]
+    docs = documents(rows)
+    held = F.col("doc_id") < 50
+    run = lambda **how: {r["doc_id"]: r for r in brown.score(docs, held, head=0.03, classes=6, **how).collect()}
+    wide, joined, by_ending = run(), run(broadcast=0.03), run(least=1 << 40)
+    # A rare word, a third of the tokens, costs less in the class of a kind, and so does what follows it.
+    assert sum(r["score"] for r in wide.values()) > sum(r["score"] for r in by_ending.values()) + 60 * 160 * 0.3 * 0.2
+    # Where words come by the join, each text has the same score.
+    assert all(r["n_known"] == joined[i]["n_known"] and math.isclose(r["score"], joined[i]["score"], rel_tol=1e-9) and math.isclose(
+        r["base_score"], joined[i]["base_score"], rel_tol=1e-9) for i, r in wide.items()) and len(joined) == 60
+
+
 # op5, op10
 
 
